@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language
+from siltstone.llm import language, quality
 from siltstone.session import table
 
 
@@ -21,8 +21,23 @@ def p7_languages(spark: SparkSession, base: str) -> DataFrame:
     return labelled.dropDuplicates(["extract_id", "segment_no", "lang"]).select("extract_id", "segment_no", "lang", F.round("confidence", 4).alias("confidence"), "first_line", "last_line")
 
 
+def p10_found(spark: SparkSession, base: str) -> DataFrame:
+    stats = quality.document_quality(table(spark, base, "documents"))
+    return quality.not_prose(stats).select(F.col("key").alias("doc_id")).distinct()
+
+
+def p10_statistics(spark: SparkSession, base: str) -> DataFrame:
+    stats = quality.document_quality(table(spark, base, "documents"))
+    shown = [F.round(c, 4).alias(c) for s in quality.STATISTICS for c in (s, f"{s}_z")]
+    return quality.scored(stats).select(F.col("key").alias("doc_id"), "lang", *shown)
+
+
+def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
+    return quality.quantile_table(quality.distributions(quality.document_statistics(table(spark, base, "documents"))))
+
+
 def queries() -> dict:
-    return {"p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
 
 
 def oracle_sql() -> dict:
