@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language, quality
+from siltstone.llm import language, quality, tokens
 from siltstone.session import table
 
 
@@ -21,6 +21,14 @@ def p7_languages(spark: SparkSession, base: str) -> DataFrame:
     return labelled.dropDuplicates(["extract_id", "segment_no", "lang"]).select("extract_id", "segment_no", "lang", F.round("confidence", 4).alias("confidence"), "first_line", "last_line")
 
 
+def p8_ids(spark: SparkSession, base: str) -> DataFrame:
+    return tokens.encoded(table(spark, base, "documents"))
+
+
+def p8_offsets(spark: SparkSession, base: str) -> DataFrame:
+    return tokens.piece_offsets(table(spark, base, "documents"))
+
+
 def p10_found(spark: SparkSession, base: str) -> DataFrame:
     stats = quality.document_quality(table(spark, base, "documents"))
     return quality.not_prose(stats).select(F.col("key").alias("doc_id")).distinct()
@@ -37,7 +45,7 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
 
 
 def oracle_sql() -> dict:
