@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language, quality, tokens
+from siltstone.llm import language, neighbours, quality, tokens
 from siltstone.session import table
 
 
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    points = neighbours.usable(table(spark, base, "chunks"))
+    return neighbours.similar_pairs(neighbours.neighbours(points, k=5, least=0.85), 0.85)
+
+
 def p7_found(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "extracted_documents")
     labelled = language.label_documents(rows, language.fit(rows))
@@ -45,7 +50,7 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p2_found": p2_found, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
 
 
 def oracle_sql() -> dict:
