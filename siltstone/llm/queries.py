@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language, neighbours, quality, tokens
+from siltstone.llm import language, neighbours, quality, repeated_lines, splitting, tokens
 from siltstone.session import table
 
 
@@ -14,6 +14,27 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return neighbours.similar_pairs(neighbours.neighbours(points, k=5, least=0.85), 0.85)
 
 
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    return repeated_lines.Repeats(table(spark, base, "extracted_documents")).places()
+
+
+def p5_clusters(spark: SparkSession, base: str) -> DataFrame:
+    return repeated_lines.Repeats(table(spark, base, "extracted_documents")).clusters()
+
+
+def p5_cleaned(spark: SparkSession, base: str) -> DataFrame:
+    rows = table(spark, base, "extracted_documents")
+    return repeated_lines.without_places(rows, repeated_lines.Repeats(rows).places())
+
+
+def p6_found(spark: SparkSession, base: str) -> DataFrame:
+    return splitting.split_items(table(spark, base, "extracted_documents"), with_text=False).select("extract_id", "item_no").distinct()
+
+
+def p6_pieces(spark: SparkSession, base: str) -> DataFrame:
+    return splitting.split_items(table(spark, base, "extracted_documents")).distinct()
+
+
 def p7_found(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "extracted_documents")
     labelled = language.label_documents(rows, language.fit(rows))
@@ -50,8 +71,18 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p2_found": p2_found, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+
+
+P6_FOUND = """
+SELECT DISTINCT extract_id, CAST(item_no AS INT) AS item_no FROM (
+  SELECT extract_id, -1 AS item_no, normalized_content AS t FROM extracted_documents
+  UNION ALL
+  SELECT extract_id, i - 1 AS item_no, blocks[i].text AS t
+  FROM (SELECT extract_id, blocks, unnest(range(1, len(blocks) + 1)) AS i FROM extracted_documents)
+) WHERE length(t) > 2000
+"""
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"p6_found": P6_FOUND}
