@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language, neighbours, quality, repeated_lines, splitting, tokens
+from siltstone.llm import language, leakage, neighbours, quality, repeated_lines, splitting, tokens
 from siltstone.session import table
 
 
@@ -55,6 +55,14 @@ def p8_offsets(spark: SparkSession, base: str) -> DataFrame:
     return tokens.piece_offsets(table(spark, base, "documents"))
 
 
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    return leakage.leaked(table(spark, base, "documents"), table(spark, base, "eval_items"))
+
+
+def p9_paraphrases(spark: SparkSession, base: str) -> DataFrame:
+    return leakage.paraphrased(table(spark, base, "documents"), table(spark, base, "eval_items"))
+
+
 def p10_found(spark: SparkSession, base: str) -> DataFrame:
     stats = quality.document_quality(table(spark, base, "documents"))
     return quality.not_prose(stats).select(F.col("key").alias("doc_id")).distinct()
@@ -71,7 +79,7 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p2_found": p2_found, "p9_found": p9_found, "p9_paraphrases": p9_paraphrases, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
 
 
 P6_FOUND = """
