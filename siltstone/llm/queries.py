@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language, leakage, neighbours, quality, repeated_lines, splitting, tokens
+from siltstone.llm import boilerplate, language, leakage, neighbours, quality, repeated_lines, splitting, tokens
 from siltstone.session import table
 
 
@@ -14,6 +14,14 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return neighbours.similar_pairs(neighbours.neighbours(points, k=5, least=0.85), 0.85)
 
 
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return boilerplate.page_blocks(table(spark, base, "pages")).filter("boilerplate").select("page_id", "block_no").distinct()
+
+
+def p4_main_text(spark: SparkSession, base: str) -> DataFrame:
+    return boilerplate.main_text(table(spark, base, "pages"))
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return repeated_lines.Repeats(table(spark, base, "extracted_documents")).places()
 
@@ -79,7 +87,7 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p9_found": p9_found, "p9_paraphrases": p9_paraphrases, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {"p2_found": p2_found, "p4_found": p4_found, "p4_main_text": p4_main_text, "p9_found": p9_found, "p9_paraphrases": p9_paraphrases, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
 
 
 P6_FOUND = """
