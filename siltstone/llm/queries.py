@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boilerplate, language, leakage, neighbours, quality, repeated_lines, splitting, tokens
+from siltstone.llm import boilerplate, language, leakage, neighbours, quality, repeated_lines, residue, splitting, tokens
 from siltstone.session import table
 
 
@@ -14,6 +14,14 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return neighbours.similar_pairs(neighbours.neighbours(points, k=5, least=0.85), 0.85)
 
 
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    return residue.residue(table(spark, base, "extracted_documents"))
+
+
+def p3_slots(spark: SparkSession, base: str) -> DataFrame:
+    return residue.slots(table(spark, base, "extracted_documents").distinct())
+
+
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return boilerplate.page_blocks(table(spark, base, "pages")).filter("boilerplate").select("page_id", "block_no").distinct()
 
@@ -86,8 +94,14 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
     return quality.quantile_table(quality.distributions(quality.document_statistics(table(spark, base, "documents"))))
 
 
+_QUERIES = (
+    p2_found, p3_found, p3_slots, p4_found, p4_main_text, p5_found, p5_clusters, p5_cleaned, p6_found, p6_pieces, p7_found, p7_languages,
+    p8_ids, p8_offsets, p9_found, p9_paraphrases, p10_found, p10_statistics, p10_quartiles,
+)
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p4_found": p4_found, "p4_main_text": p4_main_text, "p9_found": p9_found, "p9_paraphrases": p9_paraphrases, "p5_found": p5_found, "p5_clusters": p5_clusters, "p5_cleaned": p5_cleaned, "p6_found": p6_found, "p6_pieces": p6_pieces, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p10_found": p10_found, "p10_statistics": p10_statistics, "p10_quartiles": p10_quartiles, "p7_found": p7_found, "p7_languages": p7_languages}
+    return {q.__name__: q for q in _QUERIES}
 
 
 P6_FOUND = """
