@@ -32,12 +32,16 @@ def detected(text: Column, allowed: list[str] | None = None) -> Column:
     if not chosen:
         return F.lit(None).cast("struct<locale:string,source:string,confidence:double>")
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    hits = [F.struct(F.size(F.filter(words, lambda w, v=v: w.isin(*v.split()))).alias("n"), F.lit(k).alias("locale")) for k, v in sorted(chosen.items(), reverse=True)]
+    hits = [F.struct(F.size(F.filter(words, _among(v))).alias("n"), F.lit(k).alias("locale")) for k, v in sorted(chosen.items(), reverse=True)]
     best = F.array_max(F.array(*hits))
     total = F.aggregate(F.array(*[h["n"] for h in hits]), F.lit(0), lambda a, n: a + n)
     return F.when(has_text & (best["n"] > 0), F.struct(best["locale"].alias("locale"), F.lit("detected").alias("source"), (best["n"] / total).alias("confidence")))
 
 
+def _among(markers: str):
+    return lambda word: word.isin(*markers.split())
+
+
 def language(html_locale: Column, text: Column, mode: str = "auto", locale: str | None = None, allowed: list[str] | None = None, fallback: str | None = None) -> Column:
     """struct(locale, source, confidence): the first of the configured locale (mode configured), the page's (auto and
     html), the detected one (auto and detect) and the fallback that is allowed; else unknown."""

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.plans import snapshot_queries
+from siltstone.plans import refresh_queries, snapshot_queries, text_queries
 
-_MODULES = (snapshot_queries,)
+_MODULES = (snapshot_queries, refresh_queries, text_queries)
 
 
 def all_queries() -> dict:
