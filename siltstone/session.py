@@ -63,4 +63,17 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/siltstone-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STORED: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables of stored() once their results have been read; returns how many there were."""
+    hadoop, n = spark.sparkContext._jvm.org.apache.hadoop.fs, len(_STORED)
+    while _STORED:
+        path = hadoop.Path(_STORED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n

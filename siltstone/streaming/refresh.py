@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _marked(events: DataFrame, at: str, late: str) -> DataFrame:
+    """A stream with its watermark, on a time of the kind that watermarks need; tables stay as they are."""
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late) if events.isStreaming else events
+
+
 def windowed_counts(events: DataFrame, at: str = "ts", kind: str = "event_type", value: str = "value", width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Counts and sums of events by window and type; rows later than the watermark are dropped by a stream."""
-    if events.isStreaming:
-        events = events.withWatermark(at, late)
+    events = _marked(events, at, late)
     return events.groupBy(F.window(at, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("events"), F.sum(value).alias("total")).select(F.col("w.start").alias("from"), F.col("w.end").alias("to"), kind, "events", "total")
 
 
 def first_seen(items: DataFrame, at: str, url: str = "canonical_url", late: str = "1 day") -> DataFrame:
     """The first item of each address within the watermark."""
     if items.isStreaming:
-        return items.withWatermark(at, late).dropDuplicatesWithinWatermark([url])
+        return _marked(items, at, late).dropDuplicatesWithinWatermark([url])
     return items.dropDuplicates([url])
 
 
@@ -29,6 +33,5 @@ def on_each_batch(items: DataFrame, work: Callable[[DataFrame, int], None], chec
 
 def sessions(events: DataFrame, at: str = "ts", user: str = "user_id", gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """Sessions of each user by gap: start, end and events."""
-    if events.isStreaming:
-        events = events.withWatermark(at, late)
+    events = _marked(events, at, late)
     return events.groupBy(F.session_window(at, gap).alias("s"), user).agg(F.count(F.lit(1)).alias("events")).select(user, F.col("s.start").alias("from"), F.col("s.end").alias("to"), "events")
