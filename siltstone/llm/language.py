@@ -41,8 +41,8 @@ LINE = re.compile("[\n\r\x0b\x0c\x1c-\x1e\x85  ]+")
 FOREIGN = re.compile("[^\\W\\d_A-ɏḀ-ỿﬀ-ﬆ]")
 
 #: What stands between white space and isn't prose: paths, options, assignments, keys, identifiers, encoded data.
-CODE = re.compile(r"""\S*[_/\\={}<>@#$%^*|~+]\S*|\S*[^\W\d_]\d\S*|(?<!\S)--?\w\S*|\S*":\S*""")
-CODE_SIGN = re.compile(r"""[_/\\={}<>@#$%^*|~+":\d-]""")
+CODE = re.compile(r"""\S*[_/\\={}<>@#$%^*|~+]\S*|\S*[^\W\d_]\d\S*|(?<!\S)--?\w\S*|\S*":\S*|\S*\w\(\S*""")
+CODE_SIGN = re.compile(r"""[_/\\={}<>@#$%^*|~+":(\d-]""")
 
 
 def lines_of(text: str) -> list[str]:
@@ -133,14 +133,14 @@ class Labeller:
         return found
 
     def label(self, texts: list[str]) -> list[tuple[list[int], list[int], list[float]]]:
-        """For each text the language number of each non-blank line, its letters and its certainty; -1: a line without
-        a telling word; UND: five words or more, hardly any code among them, of which less than a fifth tell a language."""
+        """For each text the language number of each non-blank line, its letters and its certainty; -1: a line of
+        code or without a telling word; UND: five words or more, hardly any code among them, of which less than a fifth tell a language."""
         known = self.known
         if len(known) > 500_000:
             known.clear()
         ids: list[int] = []
         lines_no: list[int] = []
-        doc_ends, line_letters, line_counts, line_words, natural = [], [], [], [], []
+        doc_ends, line_letters, line_counts, line_words, natural, coded = [], [], [], [], [], []
         line = 0
         for text in texts:
             lines = lines_of(text if text.isascii() or unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text))
@@ -151,6 +151,7 @@ class Labeller:
                 line_letters.append(sum(map(len, words)))
                 line_words.append(len(words))
                 natural.append(len(prose) > 0.9 * len(content))
+                coded.append(len(prose) < 0.7 * len(content))
                 for w in words:
                     r = known.get(w)
                     if r is None:
@@ -174,7 +175,7 @@ class Labeller:
             support = np.zeros(max(line, 1))
         size, telling = np.array(line_words or [0]), votes.sum(axis=1)
         best = np.where(telling > 0, votes.argmax(axis=1), -1)
-        best[telling < 0.2 * size] = -1
+        best[(telling < 0.2 * size) | np.array(coded or [False])] = -1
         best[(telling < 0.2 * size) & (size >= 5) & np.array(natural or [False])] = UND
         sure = np.where((best >= 0) & (best < UND), 1.0 / (1.0 + np.exp(-np.clip(support, -30, 30))), 0.0)
         out, at = [], 0
