@@ -86,32 +86,37 @@ def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[in
 
 def term_sequences(documents: DataFrame, items: Items, key: str, text: str, known: float) -> DataFrame:
     """(key, ids) of the documents with a passage of the shortest width of which a share `known` of words are terms, the
-    others -1, and rows with a null key that hold, for each term, the number of documents of a slice that have it,
-    then the slice's number of documents."""
+    others -1, and a row with a null key for each task that holds, for each term, the number of its documents that
+    have it, then its number of documents."""
     terms, least = items.terms, min(items.widths)
+    fields = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def run(batch: pa.RecordBatch) -> dict:
-        keys, rows, seen, total = [], [], np.zeros(len(terms) + 1, dtype=np.int64), 0
-        for k, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = np.array([terms.get(w, OOV) for w in words_of(content)], dtype=np.int32)
-            total += 1
-            if not len(ids):
-                continue
-            found = ids >= 0
-            seen[np.unique(ids[found])] += 1
-            if len(ids) >= least:
-                sums = np.concatenate([[0], np.cumsum(found)])
-                if (sums[least:] - sums[:-least]).max() >= known * least:
-                    keys.append(k)
-                    rows.append(ids)
-        seen[-1] = total
-        keys.append(None)
-        rows.append(seen.astype(np.int32))
+    def batch_of(keys: list, rows: list[np.ndarray]) -> pa.RecordBatch:
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        return {"key": keys, "ids": pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(np.concatenate(rows), type=pa.int32()))}
+        lists = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(np.concatenate(rows), type=pa.int32()))
+        return pa.RecordBatch.from_pydict({"key": keys, "ids": lists}, schema=fields)
+
+    def run(batches):
+        seen = np.zeros(len(terms) + 1, dtype=np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                keys, rows = [], []
+                for k, content in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = np.array([terms.get(w, OOV) for w in words_of(content)], dtype=np.int32)
+                    seen[-1] += 1
+                    found = ids >= 0
+                    seen[np.unique(ids[found])] += 1
+                    if len(ids) >= least:
+                        sums = np.concatenate([[0], np.cumsum(found)])
+                        if (sums[least:] - sums[:-least]).max() >= known * least:
+                            keys.append(k)
+                            rows.append(ids)
+                if keys:
+                    yield batch_of(keys, rows)
+        yield batch_of([None], [seen.astype(np.int32)])
 
     chosen = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null and key is not null")
-    return map_arrow(chosen, "key long, ids array<int>", run, pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))]))
+    return chosen.mapInArrow(run, "key long, ids array<int>")
 
 
 def frequencies(sequences: DataFrame, size: int) -> tuple[np.ndarray, int]:

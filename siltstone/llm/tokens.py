@@ -28,6 +28,8 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: other white space, an apostrophe with r or v, one with l, a whole contraction.
 START, LETTERS, NUMBERS, OTHERS, APOSTROPHE, SPACE, BLANK, HALF_E, HALF_L, CONTRACTED = range(10)
 STATES = 10
+#: Codepoints of a text that are held as arrays at once.
+PART = 1 << 20
 #: Classes of codepoints: other sign, letter, number, white space, space, apostrophe, the letters s t m d, r v, l, e,
 #: and the border between two texts.
 C_OTHER, C_LETTER, C_NUMBER, C_BLANK, C_SPACE, C_APOSTROPHE, C_WHOLE, C_RV, C_L, C_E, C_BORDER = range(11)
@@ -184,8 +186,42 @@ def merger(path: str) -> Merger:
     return Merger(path)
 
 
+def safe_parts(text: str, size: int | None = None) -> list[str]:
+    """A text in parts of about `size` codepoints, cut before a space between two other signs, where a piece always
+    starts; longer where there is none."""
+    size = size or PART
+    parts, start = [], 0
+    while len(text) - start > size:
+        at = start + size
+        while 0 < (at := text.find(" ", at)) < len(text) - 1 and (text[at - 1].isspace() or text[at + 1].isspace()):
+            at += 1
+        if not 0 < at < len(text) - 1:
+            break
+        parts.append(text[start:at])
+        start = at
+    return [*parts, text[start:]]
+
+
 def encode(texts: list[str], path: str = DEFAULT_VOCABULARY) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """(ids of all texts on end, ids of each text, byte offset of each piece in its text, ids of each piece)."""
+    """(ids of all texts on end, ids of each text, byte offset of each piece in its text, ids of each piece). Long
+    texts are worked through in parts, so that arrays stay small."""
+    if all(len(t) <= PART for t in texts):
+        return encode_whole(texts, path)
+    flat, per_text, begins, sizes = [], [], [], []
+    for text in texts:
+        count = base = 0
+        for part in safe_parts(text):
+            ids, _, begin, size = encode_whole([part], path)
+            flat += ids
+            begins.append(begin + base)
+            sizes.append(size)
+            count += len(ids)
+            base += len(part.encode())
+        per_text.append(count)
+    return flat, np.array(per_text, dtype=np.int64), np.concatenate(begins), np.concatenate(sizes)
+
+
+def encode_whole(texts: list[str], path: str) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
     if not texts:
         return [], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     joined = "\n" + "\n".join(texts)

@@ -83,7 +83,7 @@ def test_repeated_lines_against_brute_force(spark):
         lines = ["own text " + "".join(rnd.choices("abcdefghij", k=9)) + " of this record" for _ in range(3)]
         for f in rnd.sample(frequent, 2):
             f = re.sub(r"\d+", lambda m: str(rnd.randint(1, 99)), f)
-            lines.insert(rnd.randint(0, 3), rnd.choice([f, f.upper(), f + " >>", "  * " + f]))
+            lines.insert(rnd.randint(0, 3), rnd.choice([f, f.upper(), f + " >>", "  * " + f, f.replace(" | ", "|").replace("  l", "l"), f.replace(" ", "")]))
         rows.append((i, source, None, None, rnd.choice(["\n", "\r\n", "\n\n"]).join(lines), None))
     rows += [rows[0], (900, "hot-alpha", None, None, None, None), (901, "b", None, None, "", None), (902, "b", None, None, " \n ", None)]
     found = repeated_lines.Repeats(extracted(spark, rows))

@@ -55,6 +55,16 @@ def test_round_trip_and_offsets():
     assert b"".join(pieces) == data and sizes.sum() == len(ours(texts[:1])[0])
 
 
+def test_long_texts_go_in_parts(reference, monkeypatch):
+    monkeypatch.setattr(tokens, "PART", 50)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices(list("ab'st  \n\t1.é"), k=700)) for _ in range(30)] + ["x" * 300, "", "a b"]
+    same(texts, reference)
+    assert max(map(len, tokens.safe_parts("word " * 100))) < 60
+    _, per_text, begins, sizes = tokens.encode(texts)
+    assert sizes.sum() == per_text.sum() and begins[0] == 0
+
+
 def test_long_pieces_merge_like_short_ones():
     m = tokens.merger(tokens.DEFAULT_VOCABULARY)
     word = ("internationalization" * 40).encode()
