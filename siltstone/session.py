@@ -34,8 +34,8 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or the context's checkpoint folder.
 
-    A machine-local temporary folder is only chosen where the session names none and the master is local,
-    as in tests.
+    Where the session names none, a folder below the warehouse is taken; a machine-local temporary one only for a local
+    master, as in tests.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,9 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="siltstone-checkpoints-")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="siltstone-checkpoints-")
+    else:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_siltstone"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
