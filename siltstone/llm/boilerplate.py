@@ -35,7 +35,7 @@ PROMPT = "share this page|share this article|tell a colleague about|rate this|wa
 NOTICE = "we use cookies|this site uses cookies|this site stores|your privacy matters|wir verwenden cookies|diese seite speichert|verwalten sie hier ihre|nous utilisons des cookies|ce site utilise|gérez ici votre|wij gebruiken cookies|deze site gebruikt|beheer hier uw|usamos cookies|este sitio usa|gestione aquí su|usiamo i cookie|questo sito usa|gestisci qui|gestisca qui|este site usa|este site guarda|gira aqui|faça aqui a gestão"
 LEGAL = "imprint|privacy|press|contact us|contact|careers|status page|terms of use|legal notice|impressum|datenschutz|presse|kontakt|karriere|mentions légales|confidentialité|carrières|colofon|pers|vacatures|aviso legal|privacidad|contacto|empleo|prensa|note legali|contatti|lavora con noi|stampa|privacidade|carreiras|imprensa|contacte-nos|contactos"
 LANGUAGE_NAMES = "english|deutsch|nederlands|français|español|italiano|português"
-STARTS = re.compile("^(?:¿)?(?:" + "|".join((SKIP, PROMPT, NOTICE)) + r")\b")
+STARTS = re.compile("^(?:¿)?(?:" + "|".join((SKIP, PROMPT, NOTICE)) + ")")
 RELATED_START = re.compile("^(?:" + RELATED + r")\b")
 CONTENTS_LINE = re.compile("^(?:" + CONTENTS + r"):?$")
 EXACT = re.compile("^(?:" + LEGAL + "|" + LANGUAGE_NAMES + ")$")
@@ -106,13 +106,29 @@ def first_pass(types: list[str], texts: list[str], title: str | None, links: fro
         same = [i for i, t in enumerate(flat) if t and wanted.startswith(t) and len(t) * 3 >= len(wanted)]
         heads = [i for i in same if types[i] == "heading"]
         own = (heads or same or [-1])[-1 if not heads else 0]
-    if own < 0:
-        own = next((i for i, k in enumerate(types) if k == "heading" and labels[i] in (SHORT, GOOD)), -1)
     return labels, own
 
 
-def labels_of(types: list[str], texts: list[str], title: str | None, links: frozenset[str], frequent: frozenset[int]) -> list[bool]:
+LISTS = re.compile(r"<(/?(?:ul|ol|dl|table))\b|<(?:p|li|h[1-6]|td|th|pre|blockquote|dd|dt|figcaption)\b", re.I)
+
+
+def list_numbers(body: str | None, content_type: str | None, size: int) -> list[int]:
+    """For each block the number of the list or table it stands in or between, from the tags of an HTML body; zeros
+    where tags and blocks don't match or there are no tags."""
+    if not body or "html" not in (content_type or ""):
+        return [0] * size
+    out, number = [], 0
+    for m in LISTS.finditer(body):
+        if m[1]:
+            number += 1
+        else:
+            out.append(number)
+    return out if len(out) == size else [0] * size
+
+
+def labels_of(types: list[str], texts: list[str], title: str | None, links: frozenset[str], frequent: frozenset[int], lists: list[int] | None = None) -> list[bool]:
     """Whether each block is boilerplate."""
+    lists = lists or [0] * len(types)
     labels, own = first_pass(types, texts, title, links, frequent)
     flat = [plain(t) for t in texts]
     n = len(labels)
@@ -126,12 +142,12 @@ def labels_of(types: list[str], texts: list[str], title: str | None, links: froz
             inside = True
             continue
         if inside:
-            if later[flat[i]] > i and labels[i] in (SHORT, BAD) and types[i] != "heading" or labels[i] == BAD and flat[i] in links:
+            if later[flat[i]] > i and types[i] != "heading" or labels[i] == BAD and flat[i] in links:
                 labels[i] = BAD
             else:
                 inside = False
     if own < 0 or labels[own] == BAD and CONTENTS_LINE.match(flat[own]):
-        own = next((i for i in range(n) if labels[i] == GOOD), n)
+        own = next((i for i in range(n) if labels[i] == GOOD or labels[i] == SHORT and types[i] == "heading"), n)
         while own > 0 and labels[own - 1] == SHORT and any(w in STOP_WORDS for w in WORD.findall(flat[own - 1])):
             own -= 1
     if own < n:
@@ -152,14 +168,16 @@ def labels_of(types: list[str], texts: list[str], title: str | None, links: froz
     for i in range(n):
         if labels[i] == BAD and RELATED_START.match(flat[i]):
             listing, kind = True, ""
+            if i > own:
+                labels[i] = ASIDE
         elif listing:
-            form = (types[i], bool(BULLET.match(texts[i])))
-            entry = labels[i] in (SHORT, BAD) or labels[i] == GOOD and (form[0] == "list-item" or form[1]) and len(texts[i]) <= 120
+            form = (types[i], bool(BULLET.match(texts[i])), lists[i])
+            entry = labels[i] in (SHORT, BAD) or labels[i] == GOOD and types[i] in ("list-item", "paragraph") and len(texts[i]) <= 120
             if labels[i] == ASIDE and not kind:
                 continue
             if i != own and entry and form[0] in ("list-item", "paragraph") and kind in ("", form) and not ENDED.search(texts[i]):
                 kind = form
-                labels[i] = BAD
+                labels[i] = ASIDE if i > own else BAD
             else:
                 listing = False
     # second pass: runs of short blocks between decided ones
@@ -225,7 +243,7 @@ def page_blocks(pages: DataFrame, key: str = "page_id", source: str = "source_id
     def run(batch: pa.RecordBatch) -> dict:
         keys, numbers, flags = [], [], []
         for k, title, content_type, body, types, texts, frequent in zip(*(batch.column(i).to_pylist() for i in range(7))):
-            found = labels_of(types, texts, title, links_of(body, content_type), frozenset(frequent or ()))
+            found = labels_of(types, texts, title, links_of(body, content_type), frozenset(frequent or ()), list_numbers(body, content_type, len(texts)))
             keys += [k] * len(found)
             numbers += range(len(found))
             flags += found

@@ -192,7 +192,7 @@ def test_statistics_and_tails(spark):
 # --- residue
 
 CASES = [
-    ("Alpha", "Welcome to {{product}}, the place for all of you.", True), ("Alpha", "Write to @@MAIL@@ before you change the rule of the page.", True), ("A - [[TITLE]]", PROSE, True), ("A", PROSE + "\nTODO: write this section.", True),
+    ("Alpha", "Welcome to {{product}}, the place for all of you.", True), ("Alpha", "Write to @@MAIL@@ before you change the rule of the page.", True), ("A - [[TITLE]]", PROSE, True), ("Repair the report template (A) - {{x}}", PROSE, True), ('How "{{name}}" is filled', PROSE, False), ("A", PROSE + "\nTODO: write this section.", True),
     ("A", "Version <your version> of it brings a new view of the page.", True), ("A", "Schrijf naar [naam hier invullen] voordat je de regel wijzigt.", True), ("A", "Version XXX name XXX of the page is new.", True),
     ("Error 404", "Page not found\n404", True), ("A", "Oops\nThis portal needs scripts to run. Turn them on and reload the page.", True), ("A", "Votre session a expiré, veuillez vous reconnecter.", True), ("A", "<%= title %>\n__BODY__ {0}", True),
     ("A", "Nams tesis ponus quast sintnis dicinis vole mitutum dosa arca volem erattum namtum.", True), ("A", "This is a placeholder article. The real text will follow once the team has written it.", True),
@@ -210,7 +210,7 @@ def test_residue_with_frames_and_repeated_pages(spark):
     rows = [(i, "s", t, None, x, None) for i, (t, x, _) in enumerate(CASES)]
     rows += [(100, "s", "B", None, "Version product_name of it brings a new view of the page.", None), (101, "s", "B", None, "The word product_name is a name of the page for you.", None)]
     rows += [(102, "s", "C", None, "Version <your product name> of it brings a new view of the page.", None)]
-    rows += [(200 + i, "s", f"T{i}", None, f"This view of Alpha{i} is gone for {i} days now", None) for i in range(3)] + [(300 + i, "s", "same", None, "A short but real text for the page", None) for i in range(3)]
+    rows += [(200 + i, f"s{i}", f"T{i}", None, f"This view of Alpha{i} is gone for {i} days now", None) for i in range(3)] + [(300 + i, f"s{i}", "same", None, "A short but real text for the page", None) for i in range(3)]
     rows += [rows[0], (400, "s", None, None, None, None), (401, "s", "{{x}}", None, " ", None), (402, "s", "{{x}}", None, None, None)]
     got = {r[0] for r in residue.residue(extracted(spark, rows)).collect()}
     assert got == {i for i, (_, _, case) in enumerate(CASES) if case} | {100, 102, 200, 201, 202}
