@@ -31,15 +31,20 @@ def detected(text: Column, allowed: list[str] | None = None) -> Column:
     chosen = {k: v for k, v in MARKERS.items() if not allowed or k in allowed}
     if not chosen:
         return F.lit(None).cast("struct<locale:string,source:string,confidence:double>")
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    hits = [F.struct(F.size(F.filter(words, _among(v))).alias("n"), F.lit(k).alias("locale")) for k, v in sorted(chosen.items(), reverse=True)]
-    best = F.array_max(F.array(*hits))
-    total = F.aggregate(F.array(*[h["n"] for h in hits]), F.lit(0), lambda a, n: a + n)
-    return F.when(has_text & (best["n"] > 0), F.struct(best["locale"].alias("locale"), F.lit("detected").alias("source"), (best["n"] / total).alias("confidence")))
+    low = F.lower(F.coalesce(text, F.lit("")))
+    hits = [F.struct(F.regexp_count(low, F.lit(_any_of(v))).alias("n"), F.lit(k).alias("locale")) for k, v in sorted(chosen.items(), reverse=True)]
 
+    def of(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0), lambda a, h: a + h["n"])
+        told = F.transform(F.array(F.array_max(counts)), lambda b: F.when(b["n"] > 0, F.struct(b["locale"].alias("locale"), F.lit("detected").alias("source"), (b["n"] / total).alias("confidence"))))
+        return told[0]
 
-def _among(markers: str):
-    return lambda word: word.isin(*markers.split())
+    # the counts are bound once by the outer transform, however often they are used
+    return F.when(has_text, F.transform(F.array(F.array(*hits)), of)[0])
+
+
+def _any_of(markers: str) -> str:
+    return r"(?<!\p{L})(?:" + "|".join(sorted(markers.split(), key=len, reverse=True)) + r")(?!\p{L})"
 
 
 def language(html_locale: Column, text: Column, mode: str = "auto", locale: str | None = None, allowed: list[str] | None = None, fallback: str | None = None) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.chunking import chunks_of
 from siltstone.operators.html_blocks import extract
+from siltstone.session import spread
 
 BLOCK = "array<struct<type:string,text:string,heading_path:array<string>>>"
 _BLOCK = pa.list_(pa.struct([("type", pa.string()), ("text", pa.string()), ("heading_path", pa.list_(pa.string()))]))
@@ -51,12 +52,12 @@ def documents(items: DataFrame, options: dict | None = None) -> DataFrame:
 
     text = pa.string()
     added = [(n, text, "string") for n in ("outcome", "message", "doc_title", "html_locale", "normalized_content", "raw_content_hash", "normalized_content_hash")]
-    return _mapped(items, [*added, ("new_blocks", _BLOCK, BLOCK), ("empty_or_short_document", pa.bool_(), "boolean")], one)
+    return _mapped(spread(items), [*added, ("new_blocks", _BLOCK, BLOCK), ("empty_or_short_document", pa.bool_(), "boolean")], one)
 
 
 def chunks(docs: DataFrame, budget: int | None = None, blocks: str = "blocks") -> DataFrame:
     """A row for each chunk of each document; documents without text have none."""
-    packed = _mapped(docs, [("packed", _CHUNK, CHUNK)], lambda row: (chunks_of(row[blocks] or [], budget),))
+    packed = _mapped(spread(docs), [("packed", _CHUNK, CHUNK)], lambda row: (chunks_of(row[blocks] or [], budget),))
     return packed.drop(blocks).withColumn("chunk", F.explode("packed")).drop("packed").select("*", "chunk.*").drop("chunk")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import globs, text, tokens, urls, vectors
 from siltstone.operators import language_choice, pipeline
-from siltstone.session import table
+from siltstone.session import spread, table
 from siltstone.sources.files import content_type
 
 _SQL: dict[str, str] = {}
@@ -174,7 +174,7 @@ def chunked(spark: SparkSession, base: str) -> DataFrame:
 
 @query()
 def document_languages(spark: SparkSession, base: str) -> DataFrame:
-    docs = table(spark, base, "extracted_documents").select("extract_id", "html_locale", "normalized_content")
+    docs = spread(table(spark, base, "extracted_documents").select("extract_id", "html_locale", "normalized_content"))
     found = language_choice.annotated(docs, mode="auto", fallback="en")
     return found.select("extract_id", "locale", "language_source", F.round("language_confidence", 4).alias("confidence")).distinct()
 

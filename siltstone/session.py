@@ -69,6 +69,17 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan in at least as many partitions as there are cores, for work outside the JVM: a table of few files
+    is placed anew, a large one stays as it is read. What isn't a plain scan stays as it is, since asking for its
+    partitions would run it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "MapIn" in plan:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 _STORED: list[str] = []
 
 
