@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow
 from siltstone.llm.language import FUNCTION_WORDS
+from siltstone.session import spread
 
 STOP_WORDS = frozenset(w for line in FUNCTION_WORDS.values() for w in line.split())
 WORD = re.compile(r"[^\W\d_]+")
@@ -219,7 +220,7 @@ def site_frequency(pages: DataFrame, least: int = 3, share: float = 0.08, key: s
         return {"key": keys, "source": sources, "number": numbers}
 
     fields = pa.schema([("key", pa.int64()), ("source", pa.string()), ("number", pa.int64())])
-    counts = map_arrow(chosen, "key long, source string, number long", run, fields).distinct().groupBy("source", "number").agg(F.count(F.lit(1)).alias("n"))
+    counts = map_arrow(spread(chosen), "key long, source string, number long", run, fields).distinct().groupBy("source", "number").agg(F.count(F.lit(1)).alias("n"))
     total = chosen.select("source", "key").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("pages"))
     often = counts.filter(F.col("n") >= least).join(total, "source").filter(F.col("n") >= share * F.col("pages"))
     return often.groupBy("source").agg(F.collect_list("number").alias("frequent"))
@@ -238,7 +239,7 @@ def page_blocks(pages: DataFrame, key: str = "page_id", source: str = "source_id
         F.coalesce(F.transform("blocks", lambda b: F.coalesce(b["type"], F.lit(""))), none).alias("types"),
         F.coalesce(F.transform("blocks", lambda b: F.coalesce(b["text"], F.lit(""))), none).alias("texts"),
     ).filter(F.size("texts") > 0)
-    joined = chosen.join(site_frequency(pages, key=key, source=source), "source", "left").drop("source")
+    joined = spread(chosen).join(site_frequency(pages, key=key, source=source), "source", "left").drop("source")
 
     def run(batch: pa.RecordBatch) -> dict:
         keys, numbers, flags = [], [], []

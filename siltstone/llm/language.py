@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow
+from siltstone.session import spread
 
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pt")
 UND = len(LANGUAGES)
@@ -71,7 +72,7 @@ def fit(rows: DataFrame, text: str = "normalized_content", label: str = "locale"
         flat = [(w, t, n) for t, words in seen.items() for w, n in words.items() if len(w) < 40]
         return {"word": [x[0] for x in flat], "tag": [x[1] for x in flat], "n": [x[2] for x in flat]}
 
-    counts = map_arrow(labelled, "word string, tag string, n long", count, pa.schema([("word", pa.string()), ("tag", pa.string()), ("n", pa.int64())]))
+    counts = map_arrow(spread(labelled), "word string, tag string, n long", count, pa.schema([("word", pa.string()), ("tag", pa.string()), ("n", pa.int64())]))
     table = (
         counts.groupBy("word")
         .agg(*[F.sum(F.when(F.col("tag") == t, F.col("n")).otherwise(0)).alias(t) for t in LANGUAGES], F.sum("n").alias("total"))
@@ -283,7 +284,7 @@ def label_documents(rows: DataFrame, model: dict[str, tuple], key: str = "extrac
         return out
 
     fields = pa.schema([("key", pa.int64()), ("segment_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("first_line", pa.int32()), ("last_line", pa.int32()), ("given", pa.string()), ("mixed", pa.bool_())])
-    found = map_arrow(chosen, "key long, segment_no int, lang string, confidence double, first_line int, last_line int, given string, mixed boolean", run, fields)
+    found = map_arrow(spread(chosen), "key long, segment_no int, lang string, confidence double, first_line int, last_line int, given string, mixed boolean", run, fields)
     return found.withColumnRenamed("key", key)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow, slices
-from siltstone.session import stored
+from siltstone.session import spread, stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Items held at once by a worker; more items are searched in blocks of this many, one pass over the corpus each.
@@ -116,7 +116,7 @@ def term_sequences(documents: DataFrame, items: Items, key: str, text: str, know
         yield batch_of([None], [seen.astype(np.int32)])
 
     chosen = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null and key is not null")
-    return chosen.mapInArrow(run, "key long, ids array<int>")
+    return spread(chosen).mapInArrow(run, "key long, ids array<int>")
 
 
 def frequencies(sequences: DataFrame, size: int) -> tuple[np.ndarray, int]:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow
+from siltstone.session import spread
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -267,7 +268,7 @@ def encoded(rows: DataFrame, path: str = DEFAULT_VOCABULARY, key: str = "doc_id"
         offsets = pa.array(np.concatenate([[0], np.cumsum(per_text)]), type=pa.int32())
         return {"key": batch.column(0), "ids": pa.ListArray.from_arrays(offsets, pa.array(flat, type=pa.int32()))}
 
-    return map_arrow(chosen, "key long, ids array<int>", run, pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))])).withColumnRenamed("key", key)
+    return map_arrow(spread(chosen), "key long, ids array<int>", run, pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))])).withColumnRenamed("key", key)
 
 
 def piece_offsets(rows: DataFrame, path: str = DEFAULT_VOCABULARY, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,4 +286,4 @@ def piece_offsets(rows: DataFrame, path: str = DEFAULT_VOCABULARY, key: str = "d
         return {"key": keys, "starts": lists[0], "sizes": lists[1]}
 
     fields = pa.schema([("key", pa.int64()), ("starts", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32()))])
-    return map_arrow(chosen, "key long, starts array<int>, sizes array<int>", run, fields).withColumnRenamed("key", key)
+    return map_arrow(spread(chosen), "key long, starts array<int>, sizes array<int>", run, fields).withColumnRenamed("key", key)
