@@ -44,7 +44,7 @@ class Refresh:
         have = "outcome" in items.columns
         fetched = items.filter("outcome = 'fetched'") if have else items
         kept = dedupe.first_by_url(fetched.select(F.lit(source["id"]).alias("source_id"), "canonical_url", "external_id", "title", "content_type", "body"), "title")
-        options = {k: source[k] for k in ("remove_selectors", "strip_text", "json_extract") if source.get(k)}
+        options = {k: source[k] for k in ("content_selectors", "remove_selectors", "strip_text", "json_extract") if source.get(k)}
         outcomes = stored(pipeline.documents(kept, options).drop("body"))
         found = outcomes.filter("outcome = 'document'")
         unique = dedupe.deduped(found, bool(source.get("dedupe_content")), source.get("dedupe_prefer_url_substrings"))

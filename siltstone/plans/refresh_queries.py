@@ -329,6 +329,46 @@ def pass_groups(spark: SparkSession, base: str) -> DataFrame:
 
 # --- runs
 
+@query("SELECT DISTINCT i.name AS index_name, r.id, r.lifecycle_status, r.verification_verdict, json_extract_string(r.metadata, '$.embedding_fingerprint') AS embedding_fingerprint, coalesce(CAST(json_extract(r.metadata, '$.auto_activate') AS BOOLEAN), false) AS auto_activate FROM kb_indexes i JOIN kb_runs r ON r.id = i.live_run_id")
+def live_runs(spark: SparkSession, base: str) -> DataFrame:
+    """The live run of each index with fields of its metadata."""
+    pointers = table(spark, base, "kb_indexes").select(F.col("name").alias("index_name"), F.col("live_run_id").alias("id"))
+    runs = table(spark, base, "kb_runs").select("id", "lifecycle_status", "verification_verdict", F.get_json_object("metadata", "$.embedding_fingerprint").alias("embedding_fingerprint"), F.coalesce(F.get_json_object("metadata", "$.auto_activate").cast("boolean"), F.lit(False)).alias("auto_activate"))
+    return pointers.join(runs, "id").distinct()
+
+
+@query(LIVE + "SELECT run_id, source_id, canonical_url, title, hash AS normalized_content_hash, row_number() OVER (PARTITION BY run_id ORDER BY canonical_url, source_id) AS position FROM cur")
+def run_documents_in_order(spark: SparkSession, base: str) -> DataFrame:
+    """The documents of the live runs in order of their addresses."""
+    _, current = live_sides(spark, base)
+    order = Window.partitionBy("run_id").orderBy("canonical_url", "source_id")
+    return current.select("run_id", "source_id", "canonical_url", "title", "normalized_content_hash", F.row_number().over(order).alias("position"))
+
+
+@query(
+    """SELECT r.index_name, count(DISTINCT s.source_id) AS sources, count(DISTINCT d.id) AS documents, count(*) AS rows, count(DISTINCT d.normalized_content_hash) AS contents
+    FROM run_documents d JOIN (SELECT DISTINCT id, index_name FROM kb_runs) r ON d.run_id = r.id JOIN (SELECT DISTINCT source_id, index_name FROM kb_sources) s ON s.source_id = lower(trim(d.source_id, E' \\t\\n\\r')) GROUP BY r.index_name"""
+)
+def crawl_summary(spark: SparkSession, base: str) -> DataFrame:
+    """What the runs of each index have listed."""
+    runs = table(spark, base, "kb_runs").select(F.col("id").alias("run_id"), "index_name").distinct()
+    sources = table(spark, base, "kb_sources").select("source_id").distinct()
+    rows = table(spark, base, "run_documents").select("run_id", canonical_source(F.col("source_id")).alias("source_id"), "id", "normalized_content_hash")
+    joined = rows.join(runs, "run_id").join(sources, "source_id")
+    return joined.groupBy("index_name").agg(F.count_distinct("source_id").alias("sources"), F.count_distinct("id").alias("documents"), F.count(F.lit(1)).alias("rows"), F.count_distinct("normalized_content_hash").alias("contents"))
+
+
+@query(
+    LIVE
+    + """SELECT DISTINCT c.document_id, c.chunk_index, c.content FROM chunks c JOIN cur d ON c.document_id = d.id AND c.run_id = d.run_id
+    WHERE EXISTS (SELECT 1 FROM diff x WHERE x.change_type IN ('added', 'changed', 'moved') AND x.source_id = d.source_id AND x.canonical_url = d.canonical_url)"""
+)
+def changed_chunk_content(spark: SparkSession, base: str) -> DataFrame:
+    """The chunks of the live documents that the difference names."""
+    previous, current = live_sides(spark, base)
+    named = diff.covered(current, diff.run_diff(previous, current)).select(F.col("id").alias("document_id"), "run_id").distinct()
+    return table(spark, base, "chunks").join(named, ["document_id", "run_id"], "left_semi").select("document_id", "chunk_index", "content").distinct()
+
 @query("SELECT id, index_name, started_at FROM (SELECT DISTINCT id, index_name, started_at FROM kb_runs) ORDER BY started_at DESC, id DESC LIMIT 50")
 def newest_runs(spark: SparkSession, base: str) -> DataFrame:
     return store.listed_runs(table(spark, base, "kb_runs").select("id", "index_name", "started_at").distinct())
@@ -434,6 +474,19 @@ def merged_search(spark: SparkSession, base: str) -> DataFrame:
     return search.merged(search.top_k_per_index(_live(spark, base), _probe(spark, base))).select("chunk_id", F.round("score", 4).alias("score"))
 
 
+@query(
+    f"""SELECT chunk_id, round(score, 4) AS score FROM (SELECT DISTINCT c.chunk_id, list_cosine_similarity(c.embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM {PROBE})) AS score FROM chunks c
+      WHERE c.run_id = (SELECT previous_live_run_id FROM kb_indexes ORDER BY name LIMIT 1) AND len(c.embedding) = 64 AND len(list_filter(c.embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(c.embedding, lambda x: x <> 0)) > 0)
+    ORDER BY score DESC, chunk_id LIMIT 10"""
+)
+def run_search(spark: SparkSession, base: str) -> DataFrame:
+    """The ten nearest chunks of one run that isn't live."""
+    run = table(spark, base, "kb_indexes").orderBy("name").select("previous_live_run_id").first()[0]
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    chunks = table(spark, base, "chunks").filter((F.col("run_id") == run) & (F.size("embedding") == 64) & finite).select("chunk_id", "embedding").distinct()
+    return search.top_k(chunks, _probe(spark, base)).select("chunk_id", F.round("score", 4).alias("score"))
+
+
 # --- audit events
 
 @query("SELECT date_trunc('day', ts)::TIMESTAMP AS \"from\", date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS \"to\", event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY ALL")

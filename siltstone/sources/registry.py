@@ -41,8 +41,11 @@ def _browser(spark, source, transports):
 def _desk(spark, source, transports):
     if source.get("crawl_method") == "webdriver" or "get" not in transports:
         return _browser(spark, source, transports)
-    base = web.start_urls(source)[0].rstrip("/")
-    return service_desk.discover(spark, transports["get"], base, source.get("categories") or [], source["id"], max_pages=source.get("max_pages", 1000))
+    starts = web.start_urls(source)
+    found = service_desk.discover(spark, transports["get"], starts[0].rstrip("/"), source.get("categories") or [], source["id"], max_pages=source.get("max_pages", 1000), starts=starts)
+    if source.get("crawl_method", "auto") == "auto" and "fetch" in transports and not found.filter("category = 'unavailable'").isEmpty():
+        return _browser(spark, source, transports)
+    return found
 
 
 def _files(scheme: str):

@@ -77,10 +77,11 @@ def linked_articles(url: str, body: str) -> list[str]:
     return list(dict.fromkeys(n for h in hrefs if (n := article_number(h))))
 
 
-def discover(spark: SparkSession, get: Get, base: str, categories: list[str], source_id: str = "", prefixes=(), denied=(), max_pages: int = 1000, page_size: int = 50) -> DataFrame:
-    """Articles of the categories and those they link to, each once and at most max_pages. If no article at all can be
-    read, one anomaly stands for the service."""
-    queue = [r for c in categories for r in category_articles(get, base, c, page_size)]
+def discover(spark: SparkSession, get: Get, base: str, categories: list[str], source_id: str = "", prefixes=(), denied=(), max_pages: int = 1000, page_size: int = 50, starts=()) -> DataFrame:
+    """Articles of the start pages, of the categories and those they link to, each once and at most max_pages. If no
+    article at all can be read, one anomaly stands for the service."""
+    queue = [{"id": n} for n in dict.fromkeys(map(article_number, starts)) if n]
+    queue += [r for c in categories for r in category_articles(get, base, c, page_size)]
     seen: set[str] = set()
     rows: list[dict] = []
     while queue and len(rows) < max_pages:

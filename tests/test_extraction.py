@@ -42,6 +42,11 @@ def test_strip_text_and_blank_blocks():
     assert [b["text"] for b in found["blocks"]] == ["text end"]
 
 
+def test_content_selectors():
+    page = "<body><p>menu</p><div class='main'><h1>A</h1><p>x</p></div></body>"
+    assert [b["text"] for b in extract_html(page, None, None, {"content_selectors": [".none", "div.main"]})["blocks"]] == ["A", "x"]
+
+
 @pytest.mark.parametrize("selector, want", [("div > p", 1), ("div p", 2), ("#a", 1), ("p.c.d", 1), ("[data-x^=ab]", 1), ("[data-x$=cd], #a", 2), ("em", 0), ("[data-x]", 1)])
 def test_selectors(selector, want):
     root = parse('<div id="a"><p class="c d">1</p><section><p data-x="abcd">2</p></section></div>')

@@ -93,6 +93,14 @@ def test_service_desk(spark):
     assert [r["category"] for r in none] == ["unavailable"]
 
 
+def test_service_desk_falls_back_to_a_crawl(spark):
+    source = {"id": "s", "type": "jira-service-management", "url": "https://a/p1", "categories": ["5"], "allowed_url_prefixes": ["https://a/"]}
+    silent = lambda url: (200, {"values": [{"id": 9}]}) if "/categories/" in url else (404, {})
+    got = registry.items(spark, source, {"get": silent, "fetch": fetch})
+    assert got.filter("outcome = 'fetched'").count() == 2
+    assert registry.items(spark, source | {"crawl_method": "api"}, {"get": silent, "fetch": fetch}).first()["category"] == "unavailable"
+
+
 def test_files(spark, tmp_path):
     for name, body in {"a.md": "# A", "x/b.html": "<p>b", "x/private.md": "p", "e.md": "", "c.bin": "z", "ü n.md": "u"}.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
