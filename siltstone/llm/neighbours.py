@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.arrow import map_arrow
 from siltstone.session import stored
 
-PART_ROWS = 32_768
+#: Rows of leaves that a task gets at once, and rows of the next leaves that are searched between two tests.
+PART_ROWS, STEP_ROWS = 32_768, 1024
 
 
 def chi_square_quantile(probability: float, degrees: int) -> float:
@@ -105,6 +106,24 @@ def merge_best(best_s, best_i, found_s, found_i, k):
     return np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
 
 
+def add_best(best_s: np.ndarray, best_i: np.ndarray, rows: np.ndarray, s: np.ndarray, i: np.ndarray, k: int) -> None:
+    """Put candidates (row, similarity, id) among the k best of their rows, in place; an id counts once."""
+    some = np.unique(rows)
+    every = np.concatenate([np.repeat(some, k), rows])
+    s, i = np.concatenate([best_s[some].ravel(), s]), np.concatenate([best_i[some].ravel(), i])
+    order = np.lexsort((-s, i, every))
+    every, s, i = every[order], s[order], i[order]
+    fresh = np.ones(len(every), dtype=bool)
+    fresh[1:] = (every[1:] != every[:-1]) | (i[1:] != i[:-1]) | (i[1:] < 0)
+    every, s, i = every[fresh], s[fresh], i[fresh]
+    order = np.lexsort((i, -s, every))
+    every, s, i = every[order], s[order], i[order]
+    start = np.searchsorted(every, some)
+    place = np.arange(len(every)) - np.repeat(start, np.diff(np.append(start, len(every))))
+    keep = place < k
+    best_s[every[keep], place[keep]], best_i[every[keep], place[keep]] = s[keep], i[keep]
+
+
 def best_of(similar: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best columns of each row with their ids; all columns as good as the k-th are weighed, so ties are exact."""
     width = similar.shape[1]
@@ -178,7 +197,7 @@ def neighbours(
 
     sample = map_arrow(drawn, "p array<float>", project, pa.schema([("p", pa.list_(pa.float32()))])).toArrow()
     tree = Tree(vectors_of(sample.column("p"), degrees).astype(np.float64), max(1, min(max_leaves, total // leaf_rows)))
-    per_block = max(1, math.ceil(tree.leaves * min(block_rows, max(512, total / 24)) / total))
+    per_block = max(1, math.ceil(tree.leaves * min(block_rows, max(512, total / 12)) / total))
 
     def place(batch: pa.RecordBatch) -> dict:
         flat = (unit(vectors_of(batch.column(1), size)) @ base).astype(np.float32).astype(np.float64)
@@ -207,8 +226,19 @@ def neighbours(
         return np.repeat(ids, ok.sum(axis=1)), best_i[ok], best_s[ok]
 
     def against(ids, vecs, best_s, best_i, data_ids, data_vecs):
+        narrow, data_narrow = vecs.astype(np.float32), data_vecs.astype(np.float32)
         for a in range(0, len(ids), 512):
             for b in range(0, len(data_ids), 8192):
+                bound = np.maximum(best_s[a : a + 512, -1], least) - 1e-5
+                if bound.min() > -1.0:
+                    # single precision finds what can be among the best, double precision says what it is worth
+                    r, c = np.nonzero(narrow[a : a + 512] @ data_narrow[b : b + 8192].T >= bound.astype(np.float32)[:, None])
+                    other = ids[a + r] != data_ids[b + c]
+                    r, c = r[other], c[other]
+                    if len(r):
+                        exact = np.einsum("ij,ij->i", vecs[a + r], data_vecs[b + c])
+                        add_best(best_s, best_i, a + r, exact, data_ids[b + c], k)
+                    continue
                 similar = vecs[a : a + 512] @ data_vecs[b : b + 8192].T
                 similar[ids[a : a + 512, None] == data_ids[None, b : b + 8192]] = -9.0
                 found = best_of(similar, data_ids[b : b + 8192], k)
@@ -272,11 +302,15 @@ def neighbours(
         end = np.append(begin[1:], len(leaves))
         row_of = np.searchsorted(leaf_no, which)
         far = box_distance(at, low[row_of], high[row_of])
-        for j in np.argsort(far.min(axis=0), kind="stable"):
-            live = np.flatnonzero(far[:, j] <= reach(best_s[:, -1]))
+        nearest = np.argsort(far.min(axis=0), kind="stable")
+        steps = np.cumsum((end - begin)[nearest]) // STEP_ROWS
+        for step in np.unique(steps):
+            some = nearest[steps == step]
+            live = np.flatnonzero(far[:, some].min(axis=1) <= reach(best_s[:, -1]))
             if len(live):
+                rows = np.concatenate([np.arange(begin[j], end[j]) for j in some])
                 s, i = best_s[live], best_i[live]
-                against(ids[live], vecs[live], s, i, data_ids[begin[j] : end[j]], data_vecs[begin[j] : end[j]])
+                against(ids[live], vecs[live], s, i, data_ids[rows], data_vecs[rows])
                 best_s[live], best_i[live] = s, i
         q, near, cosine = columns(ids, best_s, best_i)
         return pa.table([pa.array(q), pa.array(near), pa.array(cosine)], schema=out_fields)
