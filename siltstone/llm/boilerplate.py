@@ -23,7 +23,7 @@ from siltstone.session import spread
 
 STOP_WORDS = frozenset(w for line in FUNCTION_WORDS.values() for w in line.split())
 WORD = re.compile(r"[^\W\d_]+")
-ANCHOR = re.compile(r"<a\b[^>]*>(.*?)</a\s*>", re.S | re.I)
+ANCHOR = re.compile(r"<a\b[^>]{0,2000}>(.{0,2000}?)</a\s{0,9}>", re.S | re.I)
 MARKDOWN_LINK = re.compile(r"\[([^\]\n]+)\]\([^)\s]+\)")
 TAG = re.compile(r"<[^>]+>")
 BULLET = re.compile(r"^(?:[-*•+]|\d+[.)])\s+")

@@ -42,7 +42,7 @@ LINE = re.compile("[\n\r\x0b\x0c\x1c-\x1e\x85  ]+")
 FOREIGN = re.compile("[^\\W\\d_A-ɏḀ-ỿﬀ-ﬆ]")
 
 #: What stands between white space and isn't prose: paths, options, assignments, keys, identifiers, encoded data.
-CODE = re.compile(r"""\S*[_/\\={}<>@#$%^*|~+]\S*|\S*[^\W\d_]\d\S*|(?<!\S)--?\w\S*|\S*":\S*|\S*\w\(\S*""")
+CODE = re.compile(r"""[_/\\={}<>@#$%^*|~+]|[^\W\d_]\d|^--?\w|":|\w\(""")
 CODE_SIGN = re.compile(r"""[_/\\={}<>@#$%^*|~+":(\d-]""")
 
 
@@ -147,12 +147,17 @@ class Labeller:
             lines = lines_of(text if text.isascii() or unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text))
             for content in lines:
                 content = content.lower()
-                prose = CODE.sub(" ", content) if CODE_SIGN.search(content) else content
-                words = WORD.findall(prose)
+                kept = size = 1
+                if CODE_SIGN.search(content):
+                    marks = content.split()
+                    plain = [x for x in marks if not CODE.search(x)]
+                    kept, size = sum(map(len, plain)), sum(map(len, marks))
+                    content = " ".join(plain)
+                words = WORD.findall(content)
                 line_letters.append(sum(map(len, words)))
                 line_words.append(len(words))
-                natural.append(len(prose) > 0.9 * len(content))
-                coded.append(len(prose) < 0.7 * len(content))
+                natural.append(kept > 0.9 * size)
+                coded.append(kept < 0.7 * size)
                 for w in words:
                     r = known.get(w)
                     if r is None:

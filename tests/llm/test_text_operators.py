@@ -243,3 +243,20 @@ def test_blocks_that_a_whole_site_carries(spark):
     rows = [(i, "s", f"Head {i}", "text/plain", None, [("paragraph", f"Head {i}", []), ("paragraph", f"The text number {i} of the page is about the rules that are kept for all.", []), ("paragraph", "Our five offices", [])], "k", "t") for i in range(6)]
     got = {(r[0], r[1]): r[2] for r in boilerplate.page_blocks(spark.createDataFrame(rows, PAGES)).collect()}
     assert all((got[i, 0], got[i, 1], got[i, 2]) == (False, False, True) for i in range(6))
+
+
+# --- inputs that make careless patterns slow
+
+@pytest.mark.parametrize("text", ["a" * 200_000 + " -x 1", "{{" + " " * 100_000 + "x", "{{a}}" * 20_000, "[[ " * 50_000, "<a href=x>" * 20_000, "> " * 50_000, "_" * 100_000, ". " * 100_000, "a_" * 50_000, "\n" * 100_000 + "x", "<% " + "a " * 50_000, "your " * 30_000])
+def test_long_odd_texts_take_no_time(text):
+    import time
+
+    began = time.monotonic()
+    residue.is_residue("t", text, frozenset({("a", "b")}), frozenset({"a"}))
+    quality.statistics(text)
+    splitting.pieces(text)
+    language.Labeller({"the": (0.0,) * 7}).label([text])
+    boilerplate.links_of(text, "text/html")
+    boilerplate.labels_of(["paragraph"], [text], "t", frozenset(), frozenset())
+    [repeated_lines.line_identity(x) for x in language.lines_of(text)]
+    assert time.monotonic() - began < 8
