@@ -24,7 +24,7 @@ def extracted(spark, rows):
 texts = st.text(alphabet=st.sampled_from(list("abc .!?,\n\r é́‍😀👍🏽漢。")), max_size=400)
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=150, deadline=None, derandomize=True)
 @given(texts, st.integers(20, 80), st.integers(0, 15))
 def test_pieces_cover_the_text_with_the_overlap(text, limit, overlap):
     found = splitting.pieces(text, limit, overlap)
