@@ -32,6 +32,10 @@ PLACEHOLDER = re.compile(
     re.I,
 )
 NUMBERED = re.compile(r"\{\d{1,2}\}|%\d\$?s")
+#: A count in a pattern such as \d{2} or [a-z]{2}, which ends before the brace.
+COUNTED = re.compile(r"(?:\\[a-zA-Z]|[\])])$")
+#: Other signs of placeholders, which only tell in a slot of a known frame.
+OPEN = re.compile(r"\{[^\W\d][\w .-]{0,60}\}|<[^\W\d][\w .-]{0,60}>|\[[^\W\d][\w .-]{0,60}\]|%[^\W\d]\w{0,60}%")
 #: Words that tell that a placeholder is talked about, before and after it.
 TALKS_BEFORE = frozenset("template templates vorlage vorlagen modèle gabarit plantilla modello modelo sjabloon variable variables placeholder placeholders platzhalter marcador segnaposto type types typing enter syntax notation tippen tapez escriben digitano typen".split())
 TALKS_AFTER = re.compile(r"^[\"'”»`)\s]*(?:stands for|represents|is replaced|is filled|représente|est remplacé|representa|se sustituye|rappresenta|viene sostituit|staat voor|wordt vervangen|steht für|für den|wird ersetzt|é substituíd|where the value)", re.I)
@@ -75,10 +79,12 @@ def is_talked_about(line: str, start: int, end: int, title: bool = False) -> boo
 
 
 def used_placeholders(line: str, title: bool = False) -> list[tuple[int, int, str]]:
-    """(start, end, variable) of the placeholders of a line that are used, not talked about."""
-    if not ("{" in line or "<" in line or "[" in line or "%%" in line or "@@" in line or "__" in line or "XXX" in line):
+    """(start, end, variable) of the placeholders of a line that are used, not talked about; numbered ones have the empty
+    variable."""
+    if not ("{" in line or "<" in line or "[" in line or "%" in line or "@@" in line or "__" in line or "XXX" in line):
         return []
     found = [(m.start(), m.end(), next((g for g in m.groups() if g), "").lower()) for m in PLACEHOLDER.finditer(line)]
+    found += [(m.start(), m.end(), "") for m in NUMBERED.finditer(line) if not COUNTED.search(line, max(0, m.start() - 2), m.start())]
     return [x for x in found if not is_talked_about(line, x[0], x[1], title)]
 
 
@@ -90,12 +96,22 @@ def frame_of(line: str, start: int, end: int) -> tuple[str, str]:
 
 
 def has_default(line: str, frames: frozenset[tuple[str, str]], variables: frozenset[str]) -> bool:
-    """Whether a slot of a known frame in this line holds a variable's name, a default or blanks."""
-    for m in DEFAULT.finditer(line):
-        name = m[0].lower()
-        if ("_" not in name or name in variables or set(name) == {"_"}) and frame_of(line, m.start(), m.end()) in frames:
-            return not is_talked_about(line, m.start(), m.end())
-    return False
+    """Whether a slot of a known frame in this line holds a variable's name, a default, blanks or another sign of a
+    placeholder."""
+    return any((name is None or name in variables) and frame in frames for frame, name in default_slots(line))
+
+
+def default_slots(line: str) -> list[tuple[tuple[str, str], str | None]]:
+    """(frame, name) of the places of a line that count if their frame is a template's, where they have a name only if
+    it is a variable's too. Places that are talked about are left out."""
+    out = []
+    for pattern in (DEFAULT, OPEN):
+        for m in pattern.finditer(line):
+            name = m[0].lower()
+            frame = frame_of(line, m.start(), m.end())
+            if frame != ("^", "$") and not is_talked_about(line, m.start(), m.end()):
+                out.append((frame, name if pattern is DEFAULT and "_" in name and set(name) != {"_"} else None))
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -136,7 +152,7 @@ def is_residue(title: str | None, text: str, frames: frozenset[tuple[str, str]]
     marked = SIGNS.search(text) is not None
     if marked and any("TODO:" in line or used_placeholders(line) for line in lines):
         return True
-    if frames and DEFAULT.search(text) and any(has_default(line, frames, variables) for line in lines if DEFAULT.search(line)):
+    if frames and any(has_default(line, frames, variables) for line in lines):
         return True
     own = " ".join(title.lower().split()) if title else None
     told = other = 0
@@ -175,9 +191,9 @@ def slots(rows: DataFrame, text: str = "normalized_content") -> DataFrame:
             for line in lines_of(content):
                 for start, end, name in used_placeholders(line):
                     frame = frame_of(line, start, end)
-                    if frame != ("^", "$") and name:
+                    if frame != ("^", "$"):
                         found = [("frame", *frame), ("variable", name.rpartition(".")[2].strip().replace(" ", "_"), "")]
-                        for row in found:
+                        for row in found if name else found[:1]:
                             for column, value in zip(out.values(), row):
                                 column.append(value)
         return out
