@@ -80,7 +80,7 @@ def p9_paraphrases(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, base: str) -> DataFrame:
-    stats = quality.document_quality(table(spark, base, "documents"))
+    stats = quality.document_statistics(table(spark, base, "documents"))
     return quality.not_prose(stats).select(F.col("key").alias("doc_id")).distinct()
 
 
