@@ -40,7 +40,7 @@ OPEN = re.compile(r"\{[^\W\d][\w .-]{0,60}\}|<[^\W\d][\w .-]{0,60}>|\[[^\W\d][\w
 TALKS_BEFORE = frozenset("template templates vorlage vorlagen modèle gabarit plantilla modello modelo sjabloon variable variables placeholder placeholders platzhalter marcador segnaposto type types typing enter syntax notation tippen tapez escriben digitano typen".split())
 TALKS_AFTER = re.compile(r"^[\"'”»`)\s]*(?:stands for|represents|is replaced|is filled|représente|est remplacé|representa|se sustituye|rappresenta|viene sostituit|staat voor|wordt vervangen|steht für|für den|wird ersetzt|é substituíd|where the value)", re.I)
 QUOTES = {'"': '"', "'": "'", "`": "`", "“": "”", "„": "“", "«": "»", "‘": "’"}
-SIGNS = re.compile(r"\{\{|\{%|\{\d|[$#@]\{|<%|%%|\[\[|@@|__|X{3}|<\w|\[\w|TODO:")
+SIGNS = re.compile(r"\{\{|\{%|\{\d|%\d|[$#@]\{|<%|%%|\[\[|@@|__|X{3}|<\w|\[\w|TODO:")
 DEFAULT = re.compile(r"\bX{3,}\b|\bundefined\b|\bNaN\b|\bnull\b|\bTBD\b|\?{3,}|_{3,}|\byour [a-z_]+\b|\b[a-z]+_[a-z]+\b", re.I)
 WORD = re.compile(r"[^\W\d]+")
 #: Characters before and after a slot that tell how it is used.

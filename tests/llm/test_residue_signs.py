@@ -18,3 +18,21 @@ def test_numbered_placeholders(title, text, case):
 def test_signs_in_slots_of_known_frames(spark):
     rows = [(1, "s", "A", None, "Write to {2} before you change the rule.", None), (2, "s", "B", None, "Write to [mail] before you change the rule.", None), (3, "s", "C", None, PROSE + "\nSee [mail] for the rule.", None)]
     assert {r[0] for r in residue.residue(extracted(spark, rows)).collect()} == {1, 2}
+
+
+BARE = [
+    "{{a}}", "{{ a.b }}", "{% if a %}", "{%- a -%}", "${a}", "#{a}", "@{a}", "<%= a %>", "<% a %>", "%%A%%", "[[a]]", "@@A@@", "__A__", "<your name>", "<Ihr name>", "<votre nom>", "<su nombre>", "<uw naam>", "<il vostro nome>", "<o seu nome>",
+    "[insert name]", "[Add name]", "[inserire nome]", "[naam hier invullen]", "[name hier einfügen]", "[naam hier]", "XXX name XXX", "{0}", "{12}", "%1$s", "%1s",
+]
+
+
+@pytest.mark.parametrize("sign", BARE)
+def test_signs_hold_wherever_placeholders_do(sign):
+    assert residue.PLACEHOLDER.fullmatch(sign) or residue.NUMBERED.fullmatch(sign)
+    assert residue.SIGNS.search(sign)
+
+
+@pytest.mark.parametrize("text", ["%1$s\n%2$s", "%1s %2s"])
+def test_pages_of_bare_numbered_placeholders(text):
+    assert residue.is_residue("Alpha", text)
+    assert residue.is_residue("Alpha", PROSE + "\nWrite to %1$s before you change the rule.")
