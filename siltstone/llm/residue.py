@@ -46,6 +46,10 @@ WORD = re.compile(r"[^\W\d]+")
 #: Characters before and after a slot that tell how it is used.
 NEAR = 300
 SENTENCE = re.compile(r"[.!?…]\s")
+DIGITS = re.compile(r"\d+")
+#: Words with a capital, anywhere and inside a line.
+NAME = re.compile(r"\b[^\W\d_A-ZÀ-Þ]{0,60}[A-ZÀ-Þ]\w*")
+INNER_NAME = re.compile(r"(?<=\S )[^\W\d_A-ZÀ-Þ]{0,60}[A-ZÀ-Þ]\w*")
 
 #: Error, access and script notices in the seven languages, in lower case.
 ERRORS = re.compile(
@@ -173,13 +177,16 @@ def is_residue(title: str | None, text: str, frames: frozenset[tuple[str, str]]
 
 
 def masked_page(text: str) -> str | None:
-    """A short page with digits and names (capitals inside a line) as signs; None for longer ones."""
-    if len(text) > 200:
-        return None
-    lines = [re.sub(r"(?<=\S )[^\W\d_]*[A-ZÀ-Þ]\w*", "N", re.sub(r"\d+", "0", line)) for line in lines_of(text)]
+    """A page with digits and names (capitals inside a line) as signs; None for those of fewer than five words."""
+    lines = [INNER_NAME.sub("N", DIGITS.sub("0", line)) for line in lines_of(text)]
     return "\n".join(lines).lower() if sum(len(WORD.findall(x)) for x in lines) >= 5 else None
 
 
+def masked_title(title: str | None) -> str:
+    """A title with digits and names as signs."""
+    return NAME.sub("N", DIGITS.sub("0", title or "")).lower()
+
+
 def slots(rows: DataFrame, text: str = "normalized_content") -> DataFrame:
     """(kind, before, after, n): frames (kind `frame`) and variables (kind `variable`, its name in before) of the used
     placeholders, with their number of occurrences."""
@@ -206,9 +213,9 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
     """Distinct keys of the records that hold residue.
 
     The model is the frames and variables of the used placeholders, the max_slots most frequent. Pages that come back
-    at least `repeats` times under different titles in different sources are found by one shuffle of a hash for each
-    short page. Null and
-    blank texts are no cases, whatever their title; exact copies of a row count once; extra columns are ignored.
+    at least `repeats` times under different titles, whatever their length, are found by one shuffle of a hash for each
+    page. Within one source as many titles must differ in more than names and digits, of records that aren't cases by
+    themselves, as articles about several products may be worded alike. Null and blank texts are no cases, whatever their title; exact copies of a row count once; extra columns are ignored.
     """
     model = slots(rows, text).orderBy(F.desc("n"), "kind", "before", "after").limit(max_slots).collect()
     frames = frozenset((r["before"], r["after"]) for r in model if r["kind"] == "frame")
@@ -216,7 +223,7 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
     chosen = rows.select(F.col(key).alias("key"), F.col(title).alias("title"), F.col(text).alias("text"), F.xxhash64(source).alias("site")).filter("text is not null")
 
     def run(batch: pa.RecordBatch) -> dict:
-        keys, flags, pages, heads, sites = [], [], [], [], []
+        keys, flags, pages, heads, plains, sites = [], [], [], [], [], []
         for k, head, content, site in zip(*(batch.column(i).to_pylist() for i in range(4))):
             found = is_residue(head, content, frames, variables)
             page = masked_page(content)
@@ -225,13 +232,17 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
                 flags.append(found)
                 pages.append(xxhash.xxh3_64_intdigest(page.encode()) - (1 << 63) if page is not None else None)
                 heads.append(xxhash.xxh3_64_intdigest((head or "").encode()) - (1 << 63))
+                plains.append(xxhash.xxh3_64_intdigest(masked_title(head).encode()) - (1 << 63))
                 sites.append(site)
-        return {"key": keys, "found": flags, "page": pages, "head": heads, "site": sites}
-
-    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("site", pa.int64())])
-    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, site long", run, fields))
-    short = seen.filter("page is not null").select("key", "page", "head", "site").distinct()
-    ends = [f(c).alias(f"{n}_{c}") for c in ("head", "site") for n, f in (("a", F.min), ("z", F.max))]
-    again = short.groupBy("page").agg(F.count(F.lit(1)).alias("n"), *ends).filter((F.col("n") >= repeats) & (F.col("a_head") != F.col("z_head")) & (F.col("a_site") != F.col("z_site")))
-    repeated = short.join(again, "page").select("key")
+        return {"key": keys, "found": flags, "page": pages, "head": heads, "plain": plains, "site": sites}
+
+    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("plain", pa.int64()), ("site", pa.int64())])
+    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, plain long, site long", run, fields))
+    whole = seen.filter("page is not null").select("key", "page", "head", "plain", "site", "found").distinct()
+    ends = [(f, f"{n}_{c}", c) for c in ("head", "site") for n, f in (("a", F.min), ("z", F.max))]
+    titles = whole.groupBy("page", "plain").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("found"), 1).otherwise(0)).alias("own"), *[f(c).alias(name) for f, name, c in ends])
+    pages = titles.groupBy("page").agg(F.sum("n").alias("n"), F.sum("own").alias("titles"), *[f(name).alias(name) for f, name, _ in ends])
+    across = (F.col("n") >= repeats) & (F.col("a_head") != F.col("z_head")) & (F.col("a_site") != F.col("z_site"))
+    again = pages.filter(across | (F.col("titles") >= repeats)).select("page")
+    repeated = whole.join(again, "page").select("key")
     return seen.filter("found").select("key").unionByName(repeated).distinct().withColumnRenamed("key", key)

@@ -36,3 +36,13 @@ def test_signs_hold_wherever_placeholders_do(sign):
 def test_pages_of_bare_numbered_placeholders(text):
     assert residue.is_residue("Alpha", text)
     assert residue.is_residue("Alpha", PROSE + "\nWrite to %1$s before you change the rule.")
+
+
+def test_repeated_pages_of_any_length_and_of_one_source(spark):
+    titles = ["Move the log", "Share a view", "Known limits", "Questions"]
+    gone = "This view of Alpha{} is gone for {} days now. " + " ".join(f"It went away with step {k} of the plan." for k in range(40))
+    rows = [(i, "hot", t, None, gone.format(i, i), None) for i, t in enumerate(titles)] + [(10 + i, f"s{i}", t, None, gone.format(i, i).replace("gone", "lost"), None) for i, t in enumerate(titles)]
+    rows += [(20 + i, "hot", t, None, f"The way to it is closed, ask us at {i}", None) for i, t in enumerate(titles)]
+    rows += [(30 + i, "hot", f"Set up {p}", None, f"The team sets up the rule of {p} within a day, and it can be restored.", None) for i, p in enumerate(["Alpha", "Beta", "Gamma"])]
+    rows += [(40 + i, "hot", "Same", None, "The same article is kept as it is with each of the runs of the week.", None) for i in range(4)]
+    assert {r[0] for r in residue.residue(extracted(spark, rows)).collect()} == {*range(4), *range(10, 14), *range(20, 24)}
