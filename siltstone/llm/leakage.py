@@ -39,6 +39,14 @@ def windows(ids: np.ndarray, width: int, stride: int = 1) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, width)[::stride]
 
 
+def covering(ids: np.ndarray, width: int, stride: int) -> np.ndarray:
+    """Windows of a sequence at every stride and at its end, as rows; a shorter sequence is one row, filled with OOV."""
+    if len(ids) < width:
+        return np.concatenate([ids, np.full(width - len(ids), OOV, dtype=ids.dtype)])[None]
+    found = windows(ids, width, stride)
+    return found if (len(ids) - width) % stride == 0 else np.concatenate([found, ids[None, -width:]])
+
+
 def lcs(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence."""
     row = [0] * (len(b) + 1)
@@ -64,9 +72,10 @@ class Items:
         self.widths = sorted({min(run, len(s)) for s in self.sequences})
 
     def passages(self, width: int, short: bool = False, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """(windows of a width, the item each belongs to); short: only of items with exactly that many words."""
+        """(windows of a width, the last one always, the item each belongs to); short: only of items with exactly that
+        many words."""
         chosen = [(i, s) for i, s in enumerate(self.sequences) if (len(s) == width if short else len(s) >= width)]
-        parts = [windows(s, width, stride) for _, s in chosen]
+        parts = [covering(s, width, stride) for _, s in chosen]
         if not parts:
             return np.zeros((0, width), dtype=np.int32), np.zeros(0, dtype=np.int64)
         return np.concatenate(parts), np.repeat([i for i, _ in chosen], [len(p) for p in parts])
@@ -85,10 +94,10 @@ def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[in
 
 
 def term_sequences(documents: DataFrame, items: Items, key: str, text: str, known: float) -> DataFrame:
-    """(key, ids) of the documents with a passage of the shortest width of which a share `known` of words are terms, the
-    others -1, and a row with a null key for each task that holds, for each term, the number of its documents that
+    """(key, ids) of the documents with a passage of one of the widths of which a share `known` of words are terms, the
+    others -1 (a shorter document is a passage, its missing words no terms), and a row with a null key for each task that holds, for each term, the number of its documents that
     have it, then its number of documents."""
-    terms, least = items.terms, min(items.widths)
+    terms, widths = items.terms, items.widths if known < 1 else items.widths[:1]
     fields = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def batch_of(keys: list, rows: list[np.ndarray]) -> pa.RecordBatch:
@@ -106,9 +115,9 @@ def term_sequences(documents: DataFrame, items: Items, key: str, text: str, know
                     seen[-1] += 1
                     found = ids >= 0
                     seen[np.unique(ids[found])] += 1
-                    if len(ids) >= least:
+                    if len(ids) >= known * widths[0]:
                         sums = np.concatenate([[0], np.cumsum(found)])
-                        if (sums[least:] - sums[:-least]).max() >= known * least:
+                        if any((sums[w:] - sums[:-w]).max() >= known * w if len(ids) >= w else sums[-1] >= known * w for w in widths):
                             keys.append(k)
                             rows.append(ids)
                 if keys:
@@ -150,13 +159,15 @@ def gram_product(passages: np.ndarray, weights: np.ndarray, basis: np.ndarray) -
     return out
 
 
-def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width: int, rank: int, passes: int = 2, seed: int = 3) -> np.ndarray:
+def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width: int, rank: int, passes: int = 2, seed: int = 3, short: bool = False) -> np.ndarray:
     """The place of each term in the space of the leading right singular vectors, weighted. Each pass multiplies a
-    block of vectors by AᵀA on the executors; a task sends one matrix of terms by vectors, whatever its rows."""
+    block of vectors by AᵀA on the executors; a task sends one matrix of terms by vectors, whatever its rows. short:
+    items of fewer than `width` words take part as well."""
     size = len(weights)
     rank = min(rank, size)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, min(size, rank + 8))))[0]
-    own = items.passages(min(width, max(len(s) for s in items.sequences)))[0]
+    own = [items.passages(min(width, max(len(s) for s in items.sequences)))[0]]
+    own += [items.passages(w, short=True)[0] for w in items.widths if short and w < own[0].shape[1]]
 
     for _ in range(passes):
 
@@ -174,7 +185,7 @@ def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width:
         columns = [f"v{c}" for c in range(basis.shape[1])]
         parts = sequences.filter("key is not null").select("key", "ids").mapInArrow(run, "term int, " + ", ".join(f"{c} double" for c in columns))
         summed = parts.groupBy("term").agg(*[F.sum(c).alias(c) for c in columns]).orderBy("term").toPandas()
-        product = gram_product(own, weights, basis)
+        product = sum(gram_product(part, weights, basis) for part in own)
         if len(summed):
             product += summed[columns].to_numpy()
         basis = np.linalg.qr(product)[0]
@@ -264,7 +275,9 @@ def leaked(documents: DataFrame, items: DataFrame, run: int = 13, least: float =
 def paraphrased(documents: DataFrame, items: DataFrame, width: int = 26, stride: int = 5, known: float = 0.6, least: float = 0.8, common: float = 0.6, rank: int = 64, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_key, cosine, lcs_share, number_share): documents with a passage of `width` words near an item's by
     cosine whose longest common subsequence with it covers a share `common` of it; number_share tells how many of the
-    numbers of the item's passage stand in the document's. Items shorter than `width` are left to leaked()."""
+    numbers of the item's passage stand in the document's. Passages start at every stride and the last one is always
+    among them; items shorter than `width` are one passage, held against passages of their own length at every word,
+    and a document shorter than a passage is held against it whole."""
     spark = documents.sparkSession
     result = None
     for block in item_blocks(items, item_key, item_text):
@@ -273,31 +286,36 @@ def paraphrased(documents: DataFrame, items: DataFrame, width: int = 26, stride:
             continue
         sequences = stored(term_sequences(documents, held, key, text, known))
         counts, total = frequencies(sequences, len(held.terms))
-        latent = latent_terms(sequences, held, weight_of(counts, total), min(width, max(held.widths)), rank)
-        passages, owner = held.passages(width, stride=stride)
-        places, keys, numeric = places_of(passages, latent), held.keys, held.numeric
+        latent = latent_terms(sequences, held, weight_of(counts, total), min(width, max(held.widths)), rank, short=True)
+        sets = []
+        for w in held.widths:
+            passages, owner = held.passages(w, short=w < width, stride=stride)
+            sets.append((w, passages, owner, places_of(passages, latent)))
+        keys, numeric = held.keys, held.numeric
 
-        def search(batch: pa.RecordBatch, passages=passages, owner=owner, places=places, latent=latent, keys=keys, numeric=numeric) -> dict:
+        def search(batch: pa.RecordBatch, sets=sets, latent=latent, keys=keys, numeric=numeric) -> dict:
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
             docs = batch.column(0).to_pylist()
-            parts = [windows(s, width, stride) for s in sequences_of(batch)]
-            row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            rows = np.concatenate(parts) if parts else np.zeros((0, width), dtype=np.int32)
-            some = (rows >= 0).sum(axis=1) >= known * width
-            rows, row_doc = rows[some], row_doc[some]
-            shared: dict[tuple[bytes, int], tuple[float, float]] = {}
-            for a, b, cosine in near_passages(rows, latent, places, least):
-                for r, p, c in zip(a.tolist(), b.tolist(), cosine.tolist()):
-                    mark = (rows[r].tobytes(), p)
-                    if mark not in shared:
-                        theirs = passages[p].tolist()
-                        numbers = [x for x in theirs if x in numeric]
-                        mine = rows[r].tolist()
-                        shared[mark] = (lcs(mine, theirs) / width, sum(x in mine for x in numbers) / len(numbers) if numbers else 1.0)
-                    share, exact = shared[mark]
-                    pair = (docs[row_doc[r]], keys[owner[p]])
-                    if share >= common and (share, c) > best.get(pair, (0.0, 0.0, 0.0))[:2]:
-                        best[pair] = (share, c, exact)
+            texts = sequences_of(batch)
+            for w, passages, owner, places in sets:
+                parts = [covering(s, w, stride if w == width else 1) for s in texts]
+                row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                rows = np.concatenate(parts) if parts else np.zeros((0, w), dtype=np.int32)
+                some = (rows >= 0).sum(axis=1) >= known * w
+                rows, row_doc = rows[some], row_doc[some]
+                shared: dict[tuple[bytes, int], tuple[float, float]] = {}
+                for a, b, cosine in near_passages(rows, latent, places, least):
+                    for r, p, c in zip(a.tolist(), b.tolist(), cosine.tolist()):
+                        mark = (rows[r].tobytes(), p)
+                        if mark not in shared:
+                            theirs = passages[p].tolist()
+                            numbers = [x for x in theirs if x in numeric]
+                            mine = rows[r].tolist()
+                            shared[mark] = (lcs(mine, theirs) / w, sum(x in mine for x in numbers) / len(numbers) if numbers else 1.0)
+                        share, exact = shared[mark]
+                        pair = (docs[row_doc[r]], keys[owner[p]])
+                        if share >= common and (share, c) > best.get(pair, (0.0, 0.0, 0.0))[:2]:
+                            best[pair] = (share, c, exact)
             return {"doc": [p[0] for p in best], "item": [p[1] for p in best], "cosine": [v[1] for v in best.values()], "lcs_share": [v[0] for v in best.values()], "number_share": [v[2] for v in best.values()]}
 
         fields = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("number_share", pa.float64())])
