@@ -14,7 +14,7 @@ from functools import lru_cache
 import ahocorasick
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow
@@ -209,35 +209,46 @@ def slots(rows: DataFrame, text: str = "normalized_content") -> DataFrame:
     return map_arrow(spread(chosen), "kind string, before string, after string", run, fields).groupBy("kind", "before", "after").agg(F.count(F.lit(1)).alias("n"))
 
 
-def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text: str = "normalized_content", max_slots: int = 20_000, repeats: int = 3, source: str = "source_id") -> DataFrame:
+def number_of(*words: str) -> int:
+    """A 64-bit hash of a frame or a variable."""
+    return xxhash.xxh64_intdigest("\n".join(words).encode(), 42) - (1 << 63)
+
+
+def slot_number(kind: str, before: str, after: str) -> Column:
+    """number_of() in the JVM, whose xxhash64 has the same seed and is signed by wrapping."""
+    text = F.when(F.col(kind) == "frame", F.concat_ws("\n", before, after)).otherwise(F.col(before))
+    return F.xxhash64(text).bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text: str = "normalized_content", repeats: int = 3, source: str = "source_id") -> DataFrame:
     """Distinct keys of the records that hold residue.
 
-    The model is the frames and variables of the used placeholders, the max_slots most frequent. Pages that come back
+    The model is the frames and variables of the used placeholders, all of them, as a table of hashes that the places
+    which may hold defaults are joined to; nothing of it comes to the driver. Pages that come back
     at least `repeats` times under different titles, whatever their length, are found by one shuffle of a hash for each
     page. Within one source as many titles must differ in more than names and digits, of records that aren't cases by
     themselves, as articles about several products may be worded alike. Null and blank texts are no cases, whatever their title; exact copies of a row count once; extra columns are ignored.
     """
-    model = slots(rows, text).orderBy(F.desc("n"), "kind", "before", "after").limit(max_slots).collect()
-    frames = frozenset((r["before"], r["after"]) for r in model if r["kind"] == "frame")
-    variables = frozenset(r["before"] for r in model if r["kind"] == "variable")
     chosen = rows.select(F.col(key).alias("key"), F.col(title).alias("title"), F.col(text).alias("text"), F.xxhash64(source).alias("site")).filter("text is not null")
 
     def run(batch: pa.RecordBatch) -> dict:
-        keys, flags, pages, heads, plains, sites = [], [], [], [], [], []
+        keys, flags, pages, heads, plains, sites, slot_lists = [], [], [], [], [], [], []
         for k, head, content, site in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            found = is_residue(head, content, frames, variables)
+            found = is_residue(head, content)
             page = masked_page(content)
-            if found or page is not None:
+            places = set() if found else {(number_of(*frame), number_of(name) if name else None) for line in lines_of(content) for frame, name in default_slots(line)}
+            if found or page is not None or places:
                 keys.append(k)
                 flags.append(found)
                 pages.append(xxhash.xxh3_64_intdigest(page.encode()) - (1 << 63) if page is not None else None)
                 heads.append(xxhash.xxh3_64_intdigest((head or "").encode()) - (1 << 63))
                 plains.append(xxhash.xxh3_64_intdigest(masked_title(head).encode()) - (1 << 63))
                 sites.append(site)
-        return {"key": keys, "found": flags, "page": pages, "head": heads, "plain": plains, "site": sites}
+                slot_lists.append([{"frame": f, "name": v} for f, v in places])
+        return {"key": keys, "found": flags, "page": pages, "head": heads, "plain": plains, "site": sites, "slots": slot_lists}
 
-    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("plain", pa.int64()), ("site", pa.int64())])
-    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, plain long, site long", run, fields))
+    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("plain", pa.int64()), ("site", pa.int64()), ("slots", pa.list_(pa.struct([("frame", pa.int64()), ("name", pa.int64())])))])
+    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, plain long, site long, slots array<struct<frame:long,name:long>>", run, fields))
     whole = seen.filter("page is not null").select("key", "page", "head", "plain", "site", "found").distinct()
     ends = [(f, f"{n}_{c}", c) for c in ("head", "site") for n, f in (("a", F.min), ("z", F.max))]
     titles = whole.groupBy("page", "plain").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("found"), 1).otherwise(0)).alias("own"), *[f(c).alias(name) for f, name, c in ends])
@@ -245,4 +256,9 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
     across = (F.col("n") >= repeats) & (F.col("a_head") != F.col("z_head")) & (F.col("a_site") != F.col("z_site"))
     again = pages.filter(across | (F.col("titles") >= repeats)).select("page")
     repeated = whole.join(again, "page").select("key")
-    return seen.filter("found").select("key").unionByName(repeated).distinct().withColumnRenamed("key", key)
+    model = stored(slots(rows, text).select("kind", slot_number("kind", "before", "after").alias("number")))
+    open_slots = seen.filter(F.size("slots") > 0).select("key", F.explode("slots").alias("slot")).select("key", "slot.frame", "slot.name").distinct()
+    framed = open_slots.join(model.filter("kind = 'frame'").select(F.col("number").alias("frame")).distinct(), "frame")
+    named = framed.filter("name is not null").join(model.filter("kind = 'variable'").select(F.col("number").alias("name")).distinct(), "name")
+    defaults = framed.filter("name is null").select("key").unionByName(named.select("key"))
+    return seen.filter("found").select("key").unionByName(repeated).unionByName(defaults).distinct().withColumnRenamed("key", key)

@@ -46,3 +46,10 @@ def test_repeated_pages_of_any_length_and_of_one_source(spark):
     rows += [(30 + i, "hot", f"Set up {p}", None, f"The team sets up the rule of {p} within a day, and it can be restored.", None) for i, p in enumerate(["Alpha", "Beta", "Gamma"])]
     rows += [(40 + i, "hot", "Same", None, "The same article is kept as it is with each of the runs of the week.", None) for i in range(4)]
     assert {r[0] for r in residue.residue(extracted(spark, rows)).collect()} == {*range(4), *range(10, 14), *range(20, 24)}
+
+
+def test_more_frames_than_the_driver_would_hold(spark):
+    word = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(4))
+    rows = [(i, "s", "A", None, "\n".join(f"The {word(i * 100 + k)} {{{{v{word(i * 100 + k)}}}}} is {word(k)} now" for k in range(100)), None) for i in range(205)]
+    rows += [(1000 + i, "s", "B", None, f"The {word(i)} undefined is {word(i % 100)} now", None) for i in (0, 9_999, 20_499)]
+    assert {r[0] for r in residue.residue(extracted(spark, rows)).collect()} == {*range(205)} | {1000, 10_999, 21_499}
