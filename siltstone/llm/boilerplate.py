@@ -213,7 +213,7 @@ def site_frequency(pages: DataFrame, least: int = 3, share: float = 0.08, key: s
     def run(batch: pa.RecordBatch) -> dict:
         keys, sources, numbers = [], [], []
         for k, s, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            own = {site_key(t) for t in found if t and len(t) <= 160}
+            own = {site_key(t) for t in found if t}
             keys += [k] * len(own)
             sources += [s] * len(own)
             numbers += own
