@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.operators.chunking import chunks_of
-from siltstone.operators.html_blocks import extract, extract_html, extract_json, markdown_blocks, parse, select
+from siltstone.operators.html_blocks import atx_heading, extract, extract_html, extract_json, markdown_blocks, parse, select
 from siltstone.operators.pipeline import chunks, documents, source_counts
 
 
@@ -46,6 +46,27 @@ def test_content_selectors():
     assert [b["text"] for b in extract_html(page, None, None, {"content_selectors": [".none", "div.main"]})["blocks"]] == ["A", "x"]
 
 
+def test_equal_elements_are_all_removed():
+    icon = "<svg><g><path/></g></svg>"
+    assert [b["text"] for b in extract_html(f"<body><p>Text</p>{icon}{icon}</body>")["blocks"]] == ["Text"]
+    twins = '<div class="ad"><p>Buy</p></div>' * 2
+    assert [b["text"] for b in extract_html(f"<body>{twins}<p>Text</p></body>", None, None, {"remove_selectors": [".ad"]})["blocks"]] == ["Text"]
+    plain = '<p class="ad">Buy now</p>' * 2
+    assert [b["text"] for b in extract_html(f"<body>{plain}<p>Text</p></body>", None, None, {"remove_selectors": [".ad, p.none"]})["blocks"]] == ["Text"]
+    same = '<p><a href="https://x.org/">one</a> and <a href="https://x.org/">one</a></p>'
+    assert [b["text"] for b in extract_html(same, "https://a.b/", None, {"preserve_external_links": True})["blocks"]] == ["[one](<https://x.org/>) and [one](<https://x.org/>)"]
+
+
+def test_deep_pages():
+    assert [b["text"] for b in extract_html("<div>" * 5000 + "<p>deep" + "<i>" * 5000 + "er")["blocks"]] == ["deeper"]
+
+
+def test_headings_by_the_rules_of_commonmark():
+    wanted = {"# A": (1, "A"), "   ## A ##": (2, "A"), "# C#": (1, "C#"), "#\tA # #": (1, "A #"), "###### A": (6, "A")}
+    assert {line: atx_heading(line) for line in wanted} == wanted
+    assert not any(map(atx_heading, ["#A", "    # A", "####### A", "#", "# ", "## ##", "A # B"]))
+
+
 @pytest.mark.parametrize("selector, want", [("div > p", 1), ("div p", 2), ("#a", 1), ("p.c.d", 1), ("[data-x^=ab]", 1), ("[data-x$=cd], #a", 2), ("em", 0), ("[data-x]", 1)])
 def test_selectors(selector, want):
     root = parse('<div id="a"><p class="c d">1</p><section><p data-x="abcd">2</p></section></div>')
