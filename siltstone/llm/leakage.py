@@ -1,10 +1,12 @@
 """Evaluation texts inside a training corpus, by latent semantic retrieval.
 
 Words of the items make the terms; their document frequencies come from all documents. A randomised SVD of the TF-IDF
-passages of items and corpus, computed in passes over the executors, gives each term a place in a latent space, and a
-passage is the sum of its terms' places. Passages of documents whose weight lies in the terms are held against all
-passages of the items by cosine; candidates are then checked word by word: a common stretch of `run` words (or the
-whole of a shorter item) for leaks, the longest common subsequence and the item's numbers for paraphrases.
+passages of items and corpus, computed in passes over the executors, gives each term a place in a latent space; a few
+more coordinates hold a random projection of what the leading vectors leave out, so that no term is without a place. A
+passage is the sum of its terms' places. The passages of the items stand in a kd-tree over their leading coordinates;
+passages of documents whose weight lies in the terms look for those of a near place, and candidates are then checked
+word by word: a common stretch of `run` words (or the whole of a shorter item) for leaks, the longest common
+subsequence and the item's answers (its numbers and rarest words) for paraphrases.
 """
 
 from __future__ import annotations
@@ -19,11 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow, slices
+from siltstone.llm.neighbours import Tree, box_distance
 from siltstone.session import spread, stored
 
 WORD = re.compile(r"[^\W_]+")
-#: Items held at once by a worker; more items are searched in blocks of this many, one pass over the corpus each.
-ITEM_BLOCK = 5000
+#: Words and passages of the items that share a pass over the corpus; items beyond get another pass.
+GROUP_TERMS, GROUP_PASSAGES = 131_072, 524_288
+#: Passages of items that a worker holds at once, of a leaf of their tree, and coordinates the tree is built on.
+BLOCK_PASSAGES, LEAF_PASSAGES, LEAD = 32_768, 256, 8
+#: Coordinates for what the leading singular vectors leave out.
+RESIDUAL = 16
 OOV = -1
 
 
@@ -39,6 +46,13 @@ def windows(ids: np.ndarray, width: int, stride: int = 1) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, width)[::stride]
 
 
+def known_windows(ids: np.ndarray, width: int) -> np.ndarray:
+    """The windows of a sequence all of whose words are terms, as rows; no others are built."""
+    sums = np.concatenate([[0], np.cumsum(ids >= 0)])
+    starts = np.flatnonzero(sums[width:] - sums[:-width] == width) if len(ids) >= width else np.zeros(0, dtype=np.int64)
+    return windows(ids, width)[starts]
+
+
 def covering(ids: np.ndarray, width: int, stride: int) -> np.ndarray:
     """Windows of a sequence at every stride and at its end, as rows; a shorter sequence is one row, filled with OOV."""
     if len(ids) < width:
@@ -81,16 +95,23 @@ class Items:
         return np.concatenate(parts), np.repeat([i for i, _ in chosen], [len(p) for p in parts])
 
 
-def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The distinct items with text, in blocks of ITEM_BLOCK."""
-    block = []
+def item_groups(items: DataFrame, key: str, text: str, run: int) -> Iterator[Items]:
+    """The distinct items with words, in groups of bounded numbers of words and of passages; an item beyond the bounds is
+    a group of its own."""
+    block, terms, passages = [], set(), 0
     for row in items.select(key, text).filter(F.col(text).isNotNull() & F.col(key).isNotNull()).distinct().orderBy(key, text).toLocalIterator():
+        words = words_of(row[1])
+        if not words:
+            continue
+        more = max(1, len(words) - run + 1)
+        if block and (len(terms) + len(set(words) - terms) > GROUP_TERMS or passages + more > GROUP_PASSAGES):
+            yield Items(block, run)
+            block, terms, passages = [], set(), 0
         block.append((row[0], row[1]))
-        if len(block) == ITEM_BLOCK:
-            yield block
-            block = []
+        terms.update(words)
+        passages += more
     if block:
-        yield block
+        yield Items(block, run)
 
 
 def term_sequences(documents: DataFrame, items: Items, key: str, text: str, known: float) -> DataFrame:
@@ -159,15 +180,16 @@ def gram_product(passages: np.ndarray, weights: np.ndarray, basis: np.ndarray) -
     return out
 
 
-def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width: int, rank: int, passes: int = 2, seed: int = 3, short: bool = False) -> np.ndarray:
-    """The place of each term in the space of the leading right singular vectors, weighted. Each pass multiplies a
-    block of vectors by AᵀA on the executors; a task sends one matrix of terms by vectors, whatever its rows. short:
-    items of fewer than `width` words take part as well."""
+def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width: int, rank: int, passes: int = 2, seed: int = 3) -> np.ndarray:
+    """The place of each term, weighted: its coordinates by the leading right singular vectors, and a random projection
+    of the rest of it. Passages of every width of the items take part, and those of documents with at least half of
+    their words among the terms. Each pass multiplies a block of vectors by AᵀA on the executors; a task sends one row
+    for each term it met, whatever its rows."""
     size = len(weights)
     rank = min(rank, size)
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, min(size, rank + 8))))[0]
-    own = [items.passages(min(width, max(len(s) for s in items.sequences)))[0]]
-    own += [items.passages(w, short=True)[0] for w in items.widths if short and w < own[0].shape[1]]
+    rng = np.random.default_rng(seed)
+    basis = np.linalg.qr(rng.standard_normal((size, min(size, rank + 8))))[0]
+    own = [items.passages(width)[0]] + [items.passages(w, short=True)[0] for w in items.widths if w < width]
 
     for _ in range(passes):
 
@@ -180,16 +202,17 @@ def latent_terms(sequences: DataFrame, items: Items, weights: np.ndarray, width:
                         rows = np.concatenate(found)
                         rows = rows[(rows >= 0).sum(axis=1) * 2 >= width]
                         total += gram_product(rows, weights, basis)
-            yield pa.RecordBatch.from_pydict({"term": np.arange(size, dtype=np.int32)} | {f"v{c}": total[:, c] for c in range(basis.shape[1])})
+            met = np.flatnonzero(np.abs(total).sum(axis=1))
+            yield pa.RecordBatch.from_pydict({"term": met.astype(np.int32)} | {f"v{c}": total[met, c] for c in range(basis.shape[1])})
 
         columns = [f"v{c}" for c in range(basis.shape[1])]
         parts = sequences.filter("key is not null").select("key", "ids").mapInArrow(run, "term int, " + ", ".join(f"{c} double" for c in columns))
         summed = parts.groupBy("term").agg(*[F.sum(c).alias(c) for c in columns]).orderBy("term").toPandas()
         product = sum(gram_product(part, weights, basis) for part in own)
-        if len(summed):
-            product += summed[columns].to_numpy()
+        product[summed["term"].to_numpy()] += summed[columns].to_numpy()
         basis = np.linalg.qr(product)[0]
-    return (basis[:, :rank] * weights[:, None]).astype(np.float64)
+    leading, sketch = basis[:, :rank], rng.standard_normal((size, RESIDUAL)) / np.sqrt(RESIDUAL)
+    return np.hstack([leading, sketch - leading @ (leading.T @ sketch)]) * weights[:, None]
 
 
 def places_of(passages: np.ndarray, latent: np.ndarray) -> np.ndarray:
@@ -206,123 +229,165 @@ def weight_of(counts: np.ndarray, total: int) -> np.ndarray:
     return np.log((total + 1.0) / (counts + 0.5)) + 0.1
 
 
-def near_passages(found: np.ndarray, latent: np.ndarray, item_places: np.ndarray, least: float):
-    """(passage, item passage, cosine) of all pairs of a cosine of `least` or more."""
-    for a in range(0, len(found), 1024):
-        similar = places_of(found[a : a + 1024], latent) @ item_places.T
-        rows, columns = np.nonzero(similar >= least)
-        yield rows + a, columns, similar[rows, columns]
+class Places:
+    """Passages of items of one width in the order of the leaves of a kd-tree over their leading coordinates."""
+
+    def __init__(self, passages: np.ndarray, owner: np.ndarray, latent: np.ndarray):
+        self.width = passages.shape[1]
+        places = places_of(passages, latent)
+        self.tree = Tree(places[:, :LEAD].astype(np.float64), max(1, len(places) // LEAF_PASSAGES))
+        leaf = self.tree.leaf_of(places[:, :LEAD].astype(np.float64))
+        order = np.argsort(leaf, kind="stable")
+        self.passages, self.owner, self.places = passages[order], owner[order], places[order]
+        self.begin = np.searchsorted(leaf[order], np.arange(self.tree.leaves + 1))
+        self.low, self.high = (f.reduceat(self.places[:, :LEAD], self.begin[:-1], axis=0) for f in (np.minimum, np.maximum))
+
+    def near(self, found: np.ndarray, latent: np.ndarray, least: float):
+        """(passage, item passage, cosine) of all pairs of a cosine of `least` or more. A leaf farther away in the leading
+        coordinates than such pairs can be is left out."""
+        places = places_of(found, latent)
+        order = np.argsort(self.tree.leaf_of(places[:, :LEAD].astype(np.float64)), kind="stable")
+        for a in range(0, len(order), 256):
+            rows = order[a : a + 256]
+            leaves = np.flatnonzero(box_distance(places[rows, :LEAD], self.low, self.high).min(axis=0) <= 2 - 2 * least + 1e-4)
+            for stretch in np.split(leaves, np.flatnonzero(np.diff(leaves) > 1) + 1):
+                for b in range(self.begin[stretch[0]] if len(stretch) else 0, self.begin[stretch[-1] + 1] if len(stretch) else 0, 8192):
+                    similar = places[rows] @ self.places[b : min(b + 8192, self.begin[stretch[-1] + 1])].T
+                    r, c = np.nonzero(similar >= least)
+                    yield rows[r], c + b, similar[r, c]
+
+
+def item_blocks(items: Items, latent: np.ndarray, width: int, stride: int = 1) -> Iterator[list[Places]]:
+    """The passages of the items, each width apart, in blocks of at most BLOCK_PASSAGES in all."""
+    block, size = [], 0
+    for w in items.widths:
+        passages, owner = items.passages(w, short=w < width, stride=stride)
+        for a in range(0, len(passages), BLOCK_PASSAGES):
+            part = slice(a, a + BLOCK_PASSAGES)
+            if block and size + len(owner[part]) > BLOCK_PASSAGES:
+                yield block
+                block, size = [], 0
+            block.append(Places(passages[part], owner[part], latent))
+            size += len(owner[part])
+    if block:
+        yield block
 
 
 def leaked(documents: DataFrame, items: DataFrame, run: int = 13, least: float = 0.95, rank: int = 64, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Distinct (key, item_key): documents that hold `run` consecutive words of an item, or all words of a shorter one.
 
     Passages of `run` words (and of the length of each shorter item) at every word are compared; a document's passage
-    takes part if all its words are terms, as any other lacks a word of each item. Equal passages have a cosine of 1,
-    so `least` hides none. Null and empty texts on either side give no row; copies give theirs; extra columns are
-    ignored. Items beyond ITEM_BLOCK are searched in blocks.
+    takes part if all its words are terms, as any other lacks a word of each item. Equal passages have one place, and
+    every term has one, so `least` hides none. Null and empty texts on either side give no row; copies give theirs;
+    extra columns are ignored. The corpus is read into term numbers once for each group of items of bounded words.
     """
     spark = documents.sparkSession
     result = None
-    for block in item_blocks(items, item_key, item_text):
-        held = Items(block, run)
-        if not held.sequences:
-            continue
+    for held in item_groups(items, item_key, item_text, run):
         sequences = stored(term_sequences(documents, held, key, text, 1.0))
         counts, total = frequencies(sequences, len(held.terms))
         latent = latent_terms(sequences, held, weight_of(counts, total), max(held.widths), rank)
-        sets = []
-        for width in held.widths:
-            passages, owner = held.passages(width, short=width < run)
-            sets.append((width, passages, owner, places_of(passages, latent)))
-        keys = held.keys
-
-        def search(batch: pa.RecordBatch, sets=sets, latent=latent, keys=keys) -> dict:
-            pairs: set[tuple[int, int]] = set()
-            docs = batch.column(0).to_pylist()
-            texts = sequences_of(batch)
-            for width, passages, owner, item_places in sets:
-                parts = [windows(s, width) for s in texts]
-                row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-                rows = np.concatenate(parts)
-                whole = (rows >= 0).all(axis=1)
-                if not whole.any():
-                    continue
-                rows, back = np.unique(rows[whole], axis=0, return_inverse=True)
-                row_doc = row_doc[whole]
-                hits: list[tuple[np.ndarray, np.ndarray]] = []
-                for a, b, _ in near_passages(rows, latent, item_places, least):
-                    same = (rows[a] == passages[b]).all(axis=1)
-                    hits.append((a[same], owner[b[same]]))
-                of = [np.concatenate(x) for x in zip(*hits)] if hits else [np.zeros(0, dtype=int)] * 2
-                if not len(of[0]):
-                    continue
-                order = np.argsort(of[0], kind="stable")
-                which, item = of[0][order], of[1][order]
-                left, right = np.searchsorted(which, back.ravel(), "left"), np.searchsorted(which, back.ravel(), "right")
-                for d, p, q in zip(row_doc, left, right):
-                    for i in item[p:q]:
-                        pairs.add((docs[d], keys[i]))
-            return {"doc": [p[0] for p in pairs], "item": [p[1] for p in pairs]}
-
-        found = map_arrow(sequences.filter("key is not null"), "doc long, item long", search, pa.schema([("doc", pa.int64()), ("item", pa.int64())]))
-        result = found if result is None else result.unionByName(found)
+        for block in item_blocks(held, latent, run):
+            owners = [np.array([held.keys[i] for i in places.owner], dtype=np.int64) for places in block]
+
+            def search(batch: pa.RecordBatch, block=block, latent=latent, owners=owners) -> dict:
+                pairs: set[tuple[int, int]] = set()
+                docs = batch.column(0).to_pylist()
+                texts = sequences_of(batch)
+                for places, owner in zip(block, owners):
+                    parts = [known_windows(s, places.width) for s in texts]
+                    row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                    if not len(row_doc):
+                        continue
+                    rows, back = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
+                    hits: list[tuple[np.ndarray, np.ndarray]] = []
+                    for a, b, _ in places.near(rows, latent, least):
+                        same = (rows[a] == places.passages[b]).all(axis=1)
+                        hits.append((a[same], owner[b[same]]))
+                    of = [np.concatenate(x) for x in zip(*hits)] if hits else [np.zeros(0, dtype=int)] * 2
+                    if not len(of[0]):
+                        continue
+                    order = np.argsort(of[0], kind="stable")
+                    which, item = of[0][order], of[1][order]
+                    left, right = np.searchsorted(which, back.ravel(), "left"), np.searchsorted(which, back.ravel(), "right")
+                    for d, p, q in zip(row_doc, left, right):
+                        for i in item[p:q].tolist():
+                            pairs.add((docs[d], i))
+                return {"doc": [p[0] for p in pairs], "item": [p[1] for p in pairs]}
+
+            found = map_arrow(sequences.filter("key is not null"), "doc long, item long", search, pa.schema([("doc", pa.int64()), ("item", pa.int64())]))
+            result = found if result is None else result.unionByName(found)
     if result is None:
         result = spark.createDataFrame([], "doc long, item long")
     return result.select(F.col("doc").alias(key), F.col("item").alias(item_key)).distinct()
 
 
-def paraphrased(documents: DataFrame, items: DataFrame, width: int = 26, stride: int = 5, known: float = 0.6, least: float = 0.8, common: float = 0.6, rank: int = 64, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(key, item_key, cosine, lcs_share, number_share): documents with a passage of `width` words near an item's by
-    cosine whose longest common subsequence with it covers a share `common` of it; number_share tells how many of the
-    numbers of the item's passage stand in the document's. Passages start at every stride and the last one is always
-    among them; items shorter than `width` are one passage, held against passages of their own length at every word,
-    and a document shorter than a passage is held against it whole."""
+def answers_of(passage: list[int], items: Items, weights: np.ndarray) -> list[int]:
+    """What a passage of an item tells: its numbers and the rarest quarter of its other words."""
+    known = sorted({t for t in passage if t >= 0}, key=lambda t: (-weights[t], t))
+    numbers = [t for t in known if t in items.numeric]
+    words = [t for t in known if t not in items.numeric]
+    return numbers + words[: -(-len(words) // 4)]
+
+
+def paraphrased(
+    documents: DataFrame, items: DataFrame, width: int = 26, stride: int = 5, known: float = 0.6, least: float = 0.8, common: float = 0.6, answered: float = 0.5,
+    rank: int = 64, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """(key, item_key, cosine, lcs_share, answer_share): documents with a passage of `width` words near an item's by
+    cosine that holds a share `answered` of the answers of the item's passage (its numbers and rarest words) and whose
+    longest common subsequence with it covers a share `common` of it; the figures are those of the best such passage.
+    Passages start at every stride and the last one is always among them, so that no word is left out and two passages
+    stand at most half a stride apart; items shorter than `width` are one passage, held against passages of their own
+    length at every word, and a document shorter than a passage is held against it whole. Null and empty texts on
+    either side give no row."""
     spark = documents.sparkSession
     result = None
-    for block in item_blocks(items, item_key, item_text):
-        held = Items(block, width)
-        if not held.sequences:
-            continue
+    names = ("doc", "item", "lcs_share", "cosine", "answer_share")
+    fields = pa.schema([(n, pa.int64() if n in ("doc", "item") else pa.float64()) for n in names])
+    schema = ", ".join(f"{n} {'long' if n in ('doc', 'item') else 'double'}" for n in names)
+    for held in item_groups(items, item_key, item_text, width):
         sequences = stored(term_sequences(documents, held, key, text, known))
         counts, total = frequencies(sequences, len(held.terms))
-        latent = latent_terms(sequences, held, weight_of(counts, total), min(width, max(held.widths)), rank, short=True)
-        sets = []
-        for w in held.widths:
-            passages, owner = held.passages(w, short=w < width, stride=stride)
-            sets.append((w, passages, owner, places_of(passages, latent)))
-        keys, numeric = held.keys, held.numeric
-
-        def search(batch: pa.RecordBatch, sets=sets, latent=latent, keys=keys, numeric=numeric) -> dict:
-            best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            docs = batch.column(0).to_pylist()
-            texts = sequences_of(batch)
-            for w, passages, owner, places in sets:
-                parts = [covering(s, w, stride if w == width else 1) for s in texts]
-                row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-                rows = np.concatenate(parts) if parts else np.zeros((0, w), dtype=np.int32)
-                some = (rows >= 0).sum(axis=1) >= known * w
-                rows, row_doc = rows[some], row_doc[some]
-                shared: dict[tuple[bytes, int], tuple[float, float]] = {}
-                for a, b, cosine in near_passages(rows, latent, places, least):
-                    for r, p, c in zip(a.tolist(), b.tolist(), cosine.tolist()):
-                        mark = (rows[r].tobytes(), p)
-                        if mark not in shared:
-                            theirs = passages[p].tolist()
-                            numbers = [x for x in theirs if x in numeric]
+        weights = weight_of(counts, total)
+        latent = latent_terms(sequences, held, weights, min(width, max(held.widths)), rank)
+        for block in item_blocks(held, latent, width, stride):
+            owners = [[held.keys[i] for i in places.owner] for places in block]
+            answers = [[answers_of(p, held, weights) for p in places.passages.tolist()] for places in block]
+
+            def search(batch: pa.RecordBatch, block=block, latent=latent, owners=owners, answers=answers) -> dict:
+                best: dict[tuple[int, int], tuple[float, float, float]] = {}
+                docs = batch.column(0).to_pylist()
+                texts = sequences_of(batch)
+                for places, owner, telling in zip(block, owners, answers):
+                    w = places.width
+                    parts = [covering(s, w, stride if w == width else 1) for s in texts]
+                    row_doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                    rows = np.concatenate(parts) if parts else np.zeros((0, w), dtype=np.int32)
+                    some = (rows >= 0).sum(axis=1) >= known * w
+                    rows, row_doc = rows[some], row_doc[some]
+                    rows, back = np.unique(rows, axis=0, return_inverse=True)
+                    holders = [[] for _ in rows]
+                    for r, d in set(zip(back.ravel().tolist(), row_doc.tolist())):
+                        holders[r].append(d)
+                    for a, b, cosine in places.near(rows, latent, least):
+                        for r, p, c in zip(a.tolist(), b.tolist(), cosine.tolist()):
                             mine = rows[r].tolist()
-                            shared[mark] = (lcs(mine, theirs) / w, sum(x in mine for x in numbers) / len(numbers) if numbers else 1.0)
-                        share, exact = shared[mark]
-                        pair = (docs[row_doc[r]], keys[owner[p]])
-                        if share >= common and (share, c) > best.get(pair, (0.0, 0.0, 0.0))[:2]:
-                            best[pair] = (share, c, exact)
-            return {"doc": [p[0] for p in best], "item": [p[1] for p in best], "cosine": [v[1] for v in best.values()], "lcs_share": [v[0] for v in best.values()], "number_share": [v[2] for v in best.values()]}
-
-        fields = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("number_share", pa.float64())])
-        found = map_arrow(sequences.filter("key is not null"), "doc long, item long, cosine double, lcs_share double, number_share double", search, fields)
-        result = found if result is None else result.unionByName(found)
+                            share = sum(t in mine for t in telling[p]) / len(telling[p])
+                            if share < answered:
+                                continue
+                            like = lcs(mine, places.passages[p].tolist()) / w
+                            if like < common:
+                                continue
+                            for d in holders[r]:
+                                pair = (docs[d], owner[p])
+                                best[pair] = max(best.get(pair, (0.0, 0.0, 0.0)), (like, c, share))
+                columns = [[p[0] for p in best], [p[1] for p in best], *([v[i] for v in best.values()] for i in range(3))]
+                return dict(zip(names, columns))
+
+            found = map_arrow(sequences.filter("key is not null"), schema, search, fields)
+            result = found if result is None else result.unionByName(found)
     if result is None:
-        result = spark.createDataFrame([], "doc long, item long, cosine double, lcs_share double, number_share double")
-    return result.groupBy(F.col("doc").alias(key), F.col("item").alias(item_key)).agg(
-        F.round(F.max("cosine"), 3).alias("cosine"), F.round(F.max("lcs_share"), 3).alias("lcs_share"), F.round(F.max("number_share"), 3).alias("number_share")
-    )
+        result = spark.createDataFrame([], schema)
+    best = result.groupBy(F.col("doc").alias(key), F.col("item").alias(item_key)).agg(F.max(F.struct("lcs_share", "cosine", "answer_share")).alias("best"))
+    return best.select(key, item_key, *[F.round(f"best.{n}", 3).alias(n) for n in ("cosine", "lcs_share", "answer_share")])

@@ -119,7 +119,9 @@ def test_leaks_against_brute_force(spark, monkeypatch):
     held = spark.createDataFrame([(i, t, "x") for i, t in items], ITEMS)
     want = brute(docs, items)
     assert {tuple(r) for r in leakage.leaked(frame, held).collect()} == want and want
-    monkeypatch.setattr(leakage, "ITEM_BLOCK", 15)
+    monkeypatch.setattr(leakage, "GROUP_PASSAGES", 300)
+    monkeypatch.setattr(leakage, "BLOCK_PASSAGES", 40)
+    monkeypatch.setattr(leakage, "LEAF_PASSAGES", 8)
     assert {tuple(r) for r in leakage.leaked(frame, held).collect()} == want
     assert leakage.leaked(frame, held.limit(0)).count() == 0
     assert leakage.leaked(frame.limit(0), held).count() == 0
