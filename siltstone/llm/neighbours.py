@@ -3,9 +3,10 @@
 Unit vectors are projected by m Gaussian (2-stable) directions: the squared distance of two projections over the
 squared distance of the vectors follows a chi-square law with m degrees of freedom. A kd-tree over the projections of a
 bounded sample gives leaves; every row is put into a leaf and the boxes of the leaves are taken from all rows. Rows of
-neighbouring leaves form a block. A block first searches itself; then the leaves are taken by rising projected
-distance, and a query leaves the search when even a vector as near as its k-th best so far would, with probability
-`sure`, have shown up at a smaller projected distance (the chi-square stopping test).
+neighbouring leaves form a block, and blocks form areas. A block first searches itself; it then asks for the leaves that
+its rows leave open, and the areas with rows that ask or are asked for meet in pairs, each pair once for both sides.
+There a row takes the leaves by rising projected distance and leaves the search when even a vector as near as its k-th
+best so far would, with probability `sure`, have shown up at a smaller projected distance (the chi-square stopping test).
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from siltstone.llm.arrow import map_arrow
 from siltstone.session import stored
 
-#: Rows of leaves that a task gets at once, and rows of the next leaves that are searched between two tests.
-PART_ROWS, STEP_ROWS = 32_768, 1024
+#: Rows of an area, least number of areas where there are as many blocks, and rows of the next leaves that are searched
+#: between two tests.
+AREA_ROWS, AREAS, STEP_ROWS = 65_536, 5, 1024
 
 
 def chi_square_quantile(probability: float, degrees: int) -> float:
@@ -86,7 +88,7 @@ class Tree:
 
 def box_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Squared distance from each point to each box."""
-    out = np.zeros((len(points), len(low)))
+    out = np.zeros((len(points), len(low)), dtype=points.dtype)
     for d in range(points.shape[1]):
         x = points[:, d, None]
         gap = np.maximum(np.maximum(low[None, :, d] - x, x - high[None, :, d]), 0.0)
@@ -163,7 +165,7 @@ def neighbours(
     least: float = -1.0,
     degrees: int = 8,
     sure: float = 0.97,
-    leaf_rows: int = 128,
+    leaf_rows: int = 64,
     max_leaves: int = 16_384,
     sample_rows: int = 65_536,
     block_rows: int = 4096,
@@ -172,7 +174,8 @@ def neighbours(
 
     Equal vectors: only the k + 1 smallest ids of a group are searched, since no other can be among anyone's k best
     with ties to the smaller id; the others get the k smallest of their group. The tree is fitted on at most
-    sample_rows rows, all rows are indexed. Fewer than k other rows give fewer; an empty table gives none.
+    sample_rows rows, all rows are indexed; a leaf of many rows is split over blocks and areas, which are bounded in
+    rows. Fewer than k other rows give fewer; an empty table gives none.
     """
     spark = points.sparkSession
     ranked = Window.partitionBy("vec").orderBy("id")
@@ -197,34 +200,34 @@ def neighbours(
 
     sample = map_arrow(drawn, "p array<float>", project, pa.schema([("p", pa.list_(pa.float32()))])).toArrow()
     tree = Tree(vectors_of(sample.column("p"), degrees).astype(np.float64), max(1, min(max_leaves, total // leaf_rows)))
-    per_block = max(1, math.ceil(tree.leaves * min(block_rows, max(512, total / 12)) / total))
 
     def place(batch: pa.RecordBatch) -> dict:
         flat = (unit(vectors_of(batch.column(1), size)) @ base).astype(np.float32).astype(np.float64)
-        leaf = tree.leaf_of(flat)
-        return {"id": batch.column(0), "vec": batch.column(1), "leaf": leaf, "block": leaf // per_block} | {f"p{d}": flat[:, d] for d in range(degrees)}
+        return {"id": batch.column(0), "vec": batch.column(1), "leaf": tree.leaf_of(flat)} | {f"p{d}": flat[:, d] for d in range(degrees)}
 
-    fields = [("id", pa.int64()), ("vec", pa.list_(pa.float32())), ("leaf", pa.int32()), ("block", pa.int32()), *[(f"p{d}", pa.float64()) for d in range(degrees)]]
-    schema = "id long, vec array<float>, leaf int, block int, " + ", ".join(f"p{d} double" for d in range(degrees))
+    fields = [("id", pa.int64()), ("vec", pa.list_(pa.float32())), ("leaf", pa.int32()), *[(f"p{d}", pa.float64()) for d in range(degrees)]]
+    schema = "id long, vec array<float>, leaf int, " + ", ".join(f"p{d} double" for d in range(degrees))
     placed = stored(map_arrow(first.select("id", "vec"), schema, place, pa.schema(fields)))
     boxes = placed.groupBy("leaf").agg(*[f(f"p{d}").alias(f"{n}{d}") for n, f in (("a", F.min), ("z", F.max)) for d in range(degrees)], F.count(F.lit(1)).alias("rows")).orderBy("leaf").toPandas()
     leaf_no = boxes["leaf"].to_numpy()
     low, high = (boxes[[f"{n}{d}" for d in range(degrees)]].to_numpy() for n in "az")
-    # leaves fill parts of PART_ROWS rows; one with more rows than that is split over several
-    rows = boxes["rows"].to_numpy()
-    shares = spark.createDataFrame(
-        list(zip(leaf_no.tolist(), ((np.cumsum(rows) - 1) // PART_ROWS).tolist(), np.maximum(1, -(-rows // PART_ROWS)).tolist())), "leaf int, part int, splits int"
-    )
     widest = chi_square_quantile(sure, degrees)
     farthest = 2.0 - 2.0 * least
 
+    # a leaf begins where the rows of the leaves before it end; its rows are spread over the blocks it reaches into
+    rows = boxes["rows"].to_numpy()
+    before = np.cumsum(rows) - rows
+    in_block = max(1, min(block_rows, max(512, -(-total // 12))))
+    in_area = -(-max(in_block, min(AREA_ROWS, -(-total // AREAS))) // in_block) * in_block
+    reaches = (before + rows - 1) // in_block - before // in_block + 1
+    whole = reaches == 1
+    shares = spark.createDataFrame(list(zip(leaf_no.tolist(), (before // in_block).tolist(), reaches.tolist())), "leaf int, begin long, reaches long")
+    in_leaf = F.col("begin") + F.pmod(F.xxhash64("id"), F.col("reaches"))
+    blocks = placed.join(shares, "leaf").withColumn("block", in_leaf.cast("int")).withColumn("area", (in_leaf * in_block / in_area).cast("int")).drop("begin", "reaches")
+
     def reach(worst: np.ndarray) -> np.ndarray:
         return widest * np.minimum(np.maximum(2.0 - 2.0 * worst, 1e-9), farthest)
 
-    def columns(ids, best_s, best_i, leaf=None):
-        ok = (best_i >= 0) & (best_s >= least)
-        return np.repeat(ids, ok.sum(axis=1)), best_i[ok], best_s[ok]
-
     def against(ids, vecs, best_s, best_i, data_ids, data_vecs):
         narrow, data_narrow = vecs.astype(np.float32), data_vecs.astype(np.float32)
         for a in range(0, len(ids), 512):
@@ -232,7 +235,8 @@ def neighbours(
                 bound = np.maximum(best_s[a : a + 512, -1], least) - 1e-5
                 if bound.min() > -1.0:
                     # single precision finds what can be among the best, double precision says what it is worth
-                    r, c = np.nonzero(narrow[a : a + 512] @ data_narrow[b : b + 8192].T >= bound.astype(np.float32)[:, None])
+                    hit = narrow[a : a + 512] @ data_narrow[b : b + 8192].T >= bound.astype(np.float32)[:, None]
+                    r, c = np.divmod(np.flatnonzero(hit), hit.shape[1])
                     other = ids[a + r] != data_ids[b + c]
                     r, c = r[other], c[other]
                     if len(r):
@@ -245,81 +249,85 @@ def neighbours(
                 s, i = merge_best(best_s[a : a + 512], best_i[a : a + 512], found[0], np.where(found[0] < -8, -1, found[1]), k)
                 best_s[a : a + 512], best_i[a : a + 512] = s, i
 
-    own_schema = "block int, salt int, id long, vec array<float>, near array<long>, cosine array<double>, needs array<int>"
-    own_fields = pa.schema([("block", pa.int32()), ("salt", pa.int32()), ("id", pa.int64()), ("vec", pa.list_(pa.float32())), ("near", pa.list_(pa.int64())), ("cosine", pa.list_(pa.float64())), ("needs", pa.list_(pa.int32()))])
+    own_schema = "block int, area int, leaf int, id long, vec array<float>, near array<long>, cosine array<double>, asks array<int>"
+    own_fields = pa.schema([("block", pa.int32()), ("area", pa.int32()), ("leaf", pa.int32()), ("id", pa.int64()), ("vec", pa.list_(pa.float32())), ("near", pa.list_(pa.int64())), ("cosine", pa.list_(pa.float64())), ("asks", pa.list_(pa.int32()))])
 
     def inside(table: pa.Table) -> pa.Table:
-        """The block's rows among themselves, and for each the leaves elsewhere that the stopping test leaves open."""
+        """The block's rows among themselves; its first row holds the leaves reaching elsewhere that the stopping test
+        leaves open for any of its rows."""
         ids = table.column("id").to_numpy()
         vecs = unit(vectors_of(table.column("vec"), size))
         at = np.stack([table.column(f"p{d}").to_numpy() for d in range(degrees)], axis=1)
         n = len(ids)
         best_s, best_i = np.full((n, k), -9.0), np.full((n, k), -1, dtype=np.int64)
         against(ids, vecs, best_s, best_i, ids, vecs)
-        elsewhere = leaf_no // per_block != table.column("block")[0].as_py()
-        needs = []
-        for a in range(0, n, 1024):
-            open_ = box_distance(at[a : a + 1024], low[elsewhere], high[elsewhere]) <= reach(best_s[a : a + 1024, -1])[:, None]
-            needs += [leaf_no[elsewhere][row].tolist() for row in open_]
-        lists = lambda x, t: pa.array(x.tolist(), type=pa.list_(t))
-        return pa.table([table.column("block"), table.column("salt"), table.column("id"), table.column("vec"), lists(best_i, pa.int64()), lists(best_s, pa.float64()), pa.array(needs, type=pa.list_(pa.int32()))], schema=own_fields)
-
-    # a block of near-equal rows that outgrows its share is searched in parts of it, the rest counting as elsewhere
-    sized = placed.groupBy("block").count().filter(F.col("count") > 4 * PART_ROWS).collect()
-    if sized:
-        raise_limit = F.create_map(*[x for r in sized for x in (F.lit(r["block"]), F.lit(r["count"] // PART_ROWS + 1))])
-        salt = F.pmod(F.xxhash64("id"), F.coalesce(raise_limit[F.col("block")], F.lit(1))).cast("int")
-    else:
-        salt = F.lit(0)
-    own = stored(placed.withColumn("salt", salt).groupBy("block", "salt").applyInArrow(inside, own_schema))
-
-    asked = own.select("block", "salt", F.explode("needs").alias("leaf")).distinct()
-    if sized:
-        crowded = [r["block"] for r in sized]
-        inner = placed.filter(F.col("block").isin(crowded)).select("block", "leaf").distinct().join(own.select("block", "salt").distinct(), "block").select("block", "salt", "leaf")
-        asked = asked.unionByName(inner).distinct()
-    data = placed.join(shares, "leaf").select("leaf", "part", F.col("id").alias("data_id"), F.col("vec").alias("data_vec"), F.pmod(F.xxhash64("id"), F.col("splits")).cast("int").alias("split"))
-    sent = stored(asked.join(data, "leaf"))
-    groups = sent.select("block", "salt", "part", "split").distinct()
-    queries = own.select("block", "salt", "id", "vec", "near", "cosine").join(groups, ["block", "salt"]).select(
-        F.col("block").alias("q_block"), F.col("salt").alias("q_salt"), F.col("part").alias("q_part"), F.col("split").alias("q_split"), "id", "vec", "near", "cosine"
+        open_ = np.zeros(len(leaf_no), dtype=bool)
+        elsewhere = np.flatnonzero(~(whole & np.isin(leaf_no, table.column("leaf").to_numpy())))
+        for a in range(0, n, 256):
+            some = elsewhere[~open_[elsewhere]]
+            if len(some):
+                open_[some] = (box_distance(at[a : a + 256], low[some], high[some]) <= reach(best_s[a : a + 256, -1])[:, None]).any(axis=0)
+        ends = pa.array(np.arange(0, n * k + 1, k), type=pa.int32())
+        near, cosine = (pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (best_i, best_s))
+        asks = pa.array([leaf_no[open_].tolist()] + [None] * (n - 1), type=pa.list_(pa.int32()))
+        return pa.table([*(table.column(c) for c in ("block", "area", "leaf", "id", "vec")), near, cosine, asks], schema=own_fields)
+
+    own = stored(blocks.groupBy("block").applyInArrow(inside, own_schema))
+    asked = own.filter("asks is not null").select("block", "area", F.explode("asks").alias("leaf"))
+    places = own.select("leaf", "block", "area").distinct()
+    met = stored(asked.join(places.select("leaf", F.col("area").alias("other")).distinct(), "leaf"))
+    # a place goes to the areas that ask for its leaf and to those its own block asks
+    goes = places.join(met.select("leaf", F.col("other").alias("area"), F.col("area").alias("other")).distinct(), ["leaf", "area"]).unionByName(
+        places.join(met.select("block", "other").distinct(), "block")
+    )
+    sent = own.join(goes.distinct(), ["leaf", "block", "area"]).select(
+        F.least("area", "other").alias("left_area"), F.greatest("area", "other").alias("right_area"), "area", "leaf", "id", "vec", "near", "cosine"
     )
     out_fields = pa.schema([("id", pa.int64()), ("near", pa.int64()), ("cosine", pa.float64())])
 
-    def outside(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block's rows against the rows of leaves elsewhere, by rising projected distance of the leaves."""
-        if not left.num_rows or not right.num_rows:
-            return out_fields.empty_table()
-        ids = left.column("id").to_numpy()
-        vecs = unit(vectors_of(left.column("vec"), size))
-        at = (vecs @ base).astype(np.float32).astype(np.float64)
-        best_s = np.array(left.column("cosine").to_pylist(), dtype=np.float64).reshape(len(ids), k)
-        best_i = np.array(left.column("near").to_pylist(), dtype=np.int64).reshape(len(ids), k)
-        leaves = right.column("leaf").to_numpy()
-        order = np.argsort(leaves, kind="stable")
-        data_ids, data_vecs, leaves = right.column("data_id").to_numpy()[order], unit(vectors_of(right.column("data_vec"), size))[order], leaves[order]
-        which, begin = np.unique(leaves, return_index=True)
-        end = np.append(begin[1:], len(leaves))
-        row_of = np.searchsorted(leaf_no, which)
-        far = box_distance(at, low[row_of], high[row_of])
-        nearest = np.argsort(far.min(axis=0), kind="stable")
-        steps = np.cumsum((end - begin)[nearest]) // STEP_ROWS
-        for step in np.unique(steps):
-            some = nearest[steps == step]
-            live = np.flatnonzero(far[:, some].min(axis=1) <= reach(best_s[:, -1]))
-            if len(live):
-                rows = np.concatenate([np.arange(begin[j], end[j]) for j in some])
-                s, i = best_s[live], best_i[live]
-                against(ids[live], vecs[live], s, i, data_ids[rows], data_vecs[rows])
-                best_s[live], best_i[live] = s, i
-        q, near, cosine = columns(ids, best_s, best_i)
-        return pa.table([pa.array(q), pa.array(near), pa.array(cosine)], schema=out_fields)
-
-    searched = queries.groupBy("q_block", "q_salt", "q_part", "q_split").cogroup(sent.groupBy("block", "salt", "part", "split")).applyInArrow(outside, "id long, near long, cosine double")
+    def towards(mine: dict, data: dict) -> tuple:
+        """The rows of one side against those of the other, by rising projected distance of the leaves."""
+        ids, vecs, best_s, best_i = mine["ids"], mine["vecs"], mine["best_s"].copy(), mine["best_i"].copy()
+        for a in range(0, len(ids), 512):
+            q = slice(a, a + 512)
+            far = box_distance(mine["at"][q], data["low"], data["high"])
+            nearest = np.argsort(far.mean(axis=0), kind="stable")
+            steps = np.cumsum((data["end"] - data["begin"])[nearest]) // STEP_ROWS
+            for some in np.split(nearest, np.flatnonzero(np.diff(steps)) + 1):
+                live = a + np.flatnonzero(far[:, some].min(axis=1) <= reach(best_s[q, -1]))
+                if len(live):
+                    rows = np.concatenate([np.arange(data["begin"][j], data["end"][j]) for j in some])
+                    s, i = best_s[live], best_i[live]
+                    against(ids[live], vecs[live], s, i, data["ids"][rows], data["vecs"][rows])
+                    best_s[live], best_i[live] = s, i
+        fresh = (best_i >= 0) & (best_s >= least) & ~(best_i[:, :, None] == mine["best_i"][:, None, :]).any(axis=2)
+        return np.repeat(ids, fresh.sum(axis=1)), best_i[fresh], best_s[fresh]
+
+    def outside(table: pa.Table) -> pa.Table:
+        """Two areas, or one area and itself."""
+        areas, leaves = table.column("area").to_numpy(), table.column("leaf").to_numpy()
+        order = np.lexsort((leaves, areas))
+        every = {"ids": table.column("id").to_numpy(), "vecs": unit(vectors_of(table.column("vec"), size))}
+        for name, column in (("best_s", "cosine"), ("best_i", "near")):
+            every[name] = np.asarray(table.column(column).combine_chunks().flatten()).reshape(-1, k)
+        every["at"] = (every["vecs"] @ base).astype(np.float32)
+        sides = []
+        for area in np.unique(areas):
+            rows = order[areas[order] == area]
+            side = {name: column[rows] for name, column in every.items()}
+            which, begin = np.unique(leaves[rows], return_index=True)
+            sides.append(side | {"begin": begin, "end": np.append(begin[1:], len(rows))} | {name: box[np.searchsorted(leaf_no, which)].astype(np.float32) for name, box in (("low", low), ("high", high))})
+        if table.column("left_area")[0] == table.column("right_area")[0]:
+            found = [towards(sides[0], sides[0])]
+        else:
+            found = [towards(a, b) for a, b in (sides, sides[::-1])] if len(sides) == 2 else []
+        columns = [np.concatenate(c) for c in zip(*found)] or [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]
+        return pa.table([pa.array(c) for c in columns], schema=out_fields)
+
+    searched = sent.groupBy("left_area", "right_area").applyInArrow(outside, "id long, near long, cosine double")
     settled = own.select("id", F.explode(F.arrays_zip("near", "cosine")).alias("x")).select("id", "x.near", "x.cosine").filter((F.col("near") >= 0) & (F.col("cosine") >= least))
     every = searched.unionByName(settled)
     every = every.unionByName(rest) if rest is not None else every
-    every = every.dropDuplicates(["id", "near"])
     best = Window.partitionBy("id").orderBy(F.desc("cosine"), "near")
     return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("id", "near", "cosine")
 

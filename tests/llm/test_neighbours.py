@@ -37,11 +37,11 @@ def test_pairs_against_brute_force(spark, options):
     assert len(got & want) >= 0.98 * len(want) and not got - want
 
 
-def test_more_rows_than_a_part_and_a_block(spark, monkeypatch):
-    monkeypatch.setattr(N, "PART_ROWS", 16)
+def test_leaves_of_more_rows_than_an_area(spark, monkeypatch):
+    monkeypatch.setattr(N, "AREA_ROWS", 16)
     vectors = clusters(2, 2, 120)
     rows = [(i, f"h{i}", v, "x", 0) for i, v in enumerate(vectors)]
-    got = {tuple(r) for r in N.similar_pairs(found(spark, rows, k=5, least=0.85, leaf_rows=200), 0.85).collect()}
+    got = {tuple(r) for r in N.similar_pairs(found(spark, rows, k=5, least=0.85, leaf_rows=200, block_rows=16), 0.85).collect()}
     want = brute(list(range(len(rows))), vectors, 5, 0.85)
     assert len(got & want) >= 0.98 * len(want) and not got - want
 
