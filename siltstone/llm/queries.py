@@ -40,7 +40,7 @@ def p5_clusters(spark: SparkSession, base: str) -> DataFrame:
 
 def p5_cleaned(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "extracted_documents")
-    return repeated_lines.without_places(rows, repeated_lines.Repeats(rows).places())
+    return repeated_lines.without_places(rows, repeated_lines.Repeats(rows).near_places())
 
 
 def p6_found(spark: SparkSession, base: str) -> DataFrame:
