@@ -17,7 +17,7 @@ from functools import lru_cache
 import ahocorasick
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_arrow
@@ -52,8 +52,10 @@ WORD = re.compile(r"[^\W\d]+")
 NEAR = 300
 SENTENCE = re.compile(r"[.!?…]\s")
 DIGITS = re.compile(r"\d+")
-#: Words with a capital.
-NAME = re.compile(r"\b[^\W\d_A-ZÀ-Þ]{0,60}[A-ZÀ-Þ]\w*")
+#: Words from their first capital on.
+NAME = re.compile(r"[A-ZÀ-Þ]\w*")
+THREE_WORDS, FIVE_WORDS = (re.compile(r"(?:[^\W\d]+[\W\d]+){%d}[^\W\d]" % n) for n in (2, 4))
+CAPITALS = re.compile(r"[A-Z]{3}")
 
 #: Error, access and script notices in the seven languages, in lower case.
 ERRORS = re.compile(
@@ -123,11 +125,19 @@ def variable_of(words: str) -> str:
     return re.split(r"[.:]", words)[-1].strip().lower().replace(" ", "_")
 
 
+def may_hold_default(line: str) -> bool:
+    """Whether DEFAULT can match, by what each of its alternatives holds."""
+    if "_" in line or "???" in line or CAPITALS.search(line):
+        return True
+    low = line.lower()
+    return "xxx" in low or "your " in low or "undefined" in low or "null" in low or "nan" in low or "tbd" in low
+
+
 def default_slots(line: str) -> list[tuple[tuple[str, str], str | None]]:
     """(frame, name) of the places of a line that count if their frame is a template's, where they have a name only if
     it is a variable's too. Places that are talked about are left out."""
     out = []
-    for m in DEFAULT.finditer(line):
+    for m in DEFAULT.finditer(line) if may_hold_default(line) else ():
         frame = frame_of(line, m.start(), m.end())
         if frame and not is_talked_about(line, m.start(), m.end()):
             out.append((frame, m["name"].lower() if m["name"] else None))
@@ -208,17 +218,18 @@ def masked_line(line: str) -> str:
     return NAME.sub("N", DIGITS.sub("0", line)).lower()
 
 
-def page_lines(title: str | None, lines: list[str]) -> list[str]:
-    """The masked lines of three words or more that make up a page, without its title and lines of placeholders."""
+def page_lines(title: str | None, lines: list[str], marked: bool = True) -> list[str]:
+    """The masked lines of three words or more that make up a page, without its title and lines of placeholders, which
+    only marked pages have."""
     own = " ".join(title.lower().split()) if title else None
     out = []
     for line in lines:
-        if len(line) < 5 or line.count(" ") < 2 and len(WORD.findall(line)) < 3 or " ".join(line.lower().split()) == own:
+        if own and " ".join(line.lower().split()) == own:
             continue
-        if SIGNS.search(line) and ("TODO:" in line or used_placeholders(line)):
+        if marked and SIGNS.search(line) and ("TODO:" in line or used_placeholders(line)):
             continue
         masked = masked_line(line)
-        if len(WORD.findall(masked)) >= 3:
+        if THREE_WORDS.search(masked):
             out.append(masked)
     return out
 
@@ -228,22 +239,24 @@ def masked_title(title: str | None) -> str:
     return masked_line(title or "")
 
 
+def record_slots(lines: list[str]) -> list[tuple[str, str, str]]:
+    """(kind, before, after) of the frames and variables of the used placeholders of lines."""
+    out = []
+    for line in lines:
+        for start, end, name in used_placeholders(line):
+            frame = frame_of(line, start, end)
+            out += ([("frame", *frame)] if frame else []) + ([("variable", variable_of(name), "")] if name else [])
+    return out
+
+
 def slots(rows: DataFrame, text: str = "normalized_content") -> DataFrame:
     """(kind, before, after, n): frames (kind `frame`) and variables (kind `variable`, its name in before) of the used
     placeholders, with their number of occurrences."""
     chosen = rows.select(F.col(text).alias("text")).filter("text is not null").filter(F.col("text").rlike(SIGNS.pattern))
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"kind": [], "before": [], "after": []}
-        for content in batch.column(0).to_pylist():
-            for line in lines_of(content):
-                for start, end, name in used_placeholders(line):
-                    frame = frame_of(line, start, end)
-                    found = ([("frame", *frame)] if frame else []) + ([("variable", variable_of(name), "")] if name else [])
-                    for row in found:
-                        for column, value in zip(out.values(), row):
-                            column.append(value)
-        return out
+        found = [row for content in batch.column(0).to_pylist() for row in record_slots(lines_of(content))]
+        return {name: [row[i] for row in found] for i, name in enumerate(("kind", "before", "after"))}
 
     fields = pa.schema([("kind", pa.string()), ("before", pa.string()), ("after", pa.string())])
     return map_arrow(spread(chosen), "kind string, before string, after string", run, fields).groupBy("kind", "before", "after").agg(F.count(F.lit(1)).alias("n"))
@@ -251,13 +264,7 @@ def slots(rows: DataFrame, text: str = "normalized_content") -> DataFrame:
 
 def number_of(*words: str) -> int:
     """A 64-bit hash of a frame or a variable."""
-    return xxhash.xxh64_intdigest("\n".join(words).encode(), 42) - (1 << 63)
-
-
-def slot_number(kind: str, before: str, after: str) -> Column:
-    """number_of() in the JVM, whose xxhash64 has the same seed and is signed by wrapping."""
-    text = F.when(F.col(kind) == "frame", F.concat_ws("\n", before, after)).otherwise(F.col(before))
-    return F.xxhash64(text).bitwiseXOR(F.lit(-(1 << 63)))
+    return xxhash.xxh3_64_intdigest("\n".join(words).encode()) - (1 << 63)
 
 
 def error_lines(pages: DataFrame, repeats: int, alone: float = 0.05, pure: float = 0.8) -> DataFrame:
@@ -298,26 +305,31 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
         return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
 
     def run(batch: pa.RecordBatch) -> dict:
-        keys, flags, pages, heads, plains, sites, line_lists, slot_lists = ([] for _ in range(8))
+        keys, flags, pages, heads, plains, sites, line_lists, slot_lists, frame_lists, name_lists = ([] for _ in range(10))
         for k, head, content, site in zip(*(batch.column(i).to_pylist() for i in range(4))):
             lines = lines_of(content)
             if not lines:
                 continue
             found = is_residue(head, content, prior=prior)
-            page = page_lines(head, lines)
+            marked = SIGNS.search(content) is not None
+            page = page_lines(head, lines, marked)
+            model = set(record_slots(lines)) if marked else set()
             places = set() if found else {(number_of(*frame), number_of(name) if name else None) for line in lines for frame, name in default_slots(line)} | {(None, number_of(name)) for name in title_slots(head)}
             keys.append(k)
             flags.append(found)
-            pages.append(hashed("\n".join(page)) if sum(len(WORD.findall(x)) for x in page) >= 5 else None)
+            whole_page = "\n".join(page)
+            pages.append(hashed(whole_page) if FIVE_WORDS.search(whole_page) else None)
             heads.append(hashed(head or ""))
             plains.append(hashed(masked_title(head)))
             sites.append(site)
             line_lists.append(sorted({hashed(line) for line in page}))
             slot_lists.append([{"frame": f, "name": v} for f, v in places])
-        return {"key": keys, "found": flags, "page": pages, "head": heads, "plain": plains, "site": sites, "lines": line_lists, "slots": slot_lists}
+            frame_lists.append([number_of(before, after) for kind, before, after in model if kind == "frame"])
+            name_lists.append([number_of(name) for kind, name, _ in model if kind == "variable"])
+        return {"key": keys, "found": flags, "page": pages, "head": heads, "plain": plains, "site": sites, "lines": line_lists, "slots": slot_lists, "frames": frame_lists, "names": name_lists}
 
-    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("plain", pa.int64()), ("site", pa.int64()), ("lines", pa.list_(pa.int64())), ("slots", pa.list_(pa.struct([("frame", pa.int64()), ("name", pa.int64())])))])
-    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, plain long, site long, lines array<long>, slots array<struct<frame:long,name:long>>", run, fields))
+    fields = pa.schema([("key", pa.int64()), ("found", pa.bool_()), ("page", pa.int64()), ("head", pa.int64()), ("plain", pa.int64()), ("site", pa.int64()), ("lines", pa.list_(pa.int64())), ("slots", pa.list_(pa.struct([("frame", pa.int64()), ("name", pa.int64())]))), ("frames", pa.list_(pa.int64())), ("names", pa.list_(pa.int64()))])
+    seen = stored(map_arrow(spread(chosen), "key long, found boolean, page long, head long, plain long, site long, lines array<long>, slots array<struct<frame:long,name:long>>, frames array<long>, names array<long>", run, fields))
     whole = seen.filter("page is not null").select("key", "page", "head", "plain", "site", "found").distinct()
     ends = [(f, f"{n}_{c}", c) for c in ("head", "site") for n, f in (("a", F.min), ("z", F.max))]
     titles = whole.groupBy("page", "plain").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("found"), 1).otherwise(0)).alias("own"), *[f(c).alias(name) for f, name, c in ends])
@@ -328,8 +340,7 @@ def residue(rows: DataFrame, key: str = "extract_id", title: str = "title", text
     templates = error_lines(seen.select("key", "head", "plain", "site", "lines").distinct(), repeats)
     lines = seen.select("key", F.size("lines").alias("size"), F.explode("lines").alias("line")).distinct().join(templates, "line")
     errors = lines.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")).filter("n = size").select("key")
-    model = stored(slots(rows, text).select("kind", slot_number("kind", "before", "after").alias("number")))
-    frames, variables = (model.filter(F.col("kind") == kind).select(F.col("number").alias(name)).distinct() for kind, name in (("frame", "frame"), ("variable", "name")))
+    frames, variables = (seen.select(F.explode(column).alias(name)).distinct() for column, name in (("frames", "frame"), ("names", "name")))
     open_slots = seen.filter(F.size("slots") > 0).select("key", F.explode("slots").alias("slot")).select("key", "slot.frame", "slot.name").distinct()
     framed = open_slots.filter("frame is not null").join(frames, "frame")
     named = framed.filter("name is not null").select("key", "name").unionByName(open_slots.filter("frame is null").select("key", "name")).join(variables, "name")
