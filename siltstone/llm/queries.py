@@ -80,14 +80,12 @@ def p9_paraphrases(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, base: str) -> DataFrame:
-    stats = quality.document_statistics(table(spark, base, "documents"))
-    return quality.not_prose(stats).select(F.col("key").alias("doc_id")).distinct()
+    return quality.not_prose(quality.document_quality(table(spark, base, "documents"))).select(F.col("key").alias("doc_id")).distinct()
 
 
 def p10_statistics(spark: SparkSession, base: str) -> DataFrame:
-    stats = quality.document_quality(table(spark, base, "documents"))
-    shown = [F.round(c, 4).alias(c) for s in quality.STATISTICS for c in (s, f"{s}_z")]
-    return quality.scored(stats).select(F.col("key").alias("doc_id"), "lang", *shown)
+    shown = [F.round(c, 4).alias(c) for s in quality.STATISTICS for c in (s, f"{s}_z", f"{s}_rank")]
+    return quality.document_quality(table(spark, base, "documents")).select(F.col("key").alias("doc_id"), "lang", *shown)
 
 
 def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:

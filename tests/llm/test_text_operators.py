@@ -179,8 +179,8 @@ def test_prose_share(text, prose):
 def test_statistics_and_tails(spark):
     docs = [(i, PROSE + f" Number {i}.", "en", "key") for i in range(40)] + [(100, "login page, audit trail, sync agent, ticket view", "en", "key"), (101, None, "en", "key"), (102, "", None, "key"), (103, " \n ", "xx", "key"), (104, "12;a;3\n" * 9, "DE_at", "key"), (104, "12;a;3\n" * 9, "DE_at", "key")]
     frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, key string")
-    stats = quality.document_quality(frame)
-    assert sorted(r["key"] for r in quality.not_prose(stats).select("key").distinct().collect()) == [100, 104]
+    stats = quality.document_statistics(frame)
+    assert sorted(r["key"] for r in quality.not_prose(quality.document_quality(frame)).select("key").distinct().collect()) == [100, 104]
     row = stats.filter("key = 100").first()
     assert (row["word_count"], row["ended_share"], row["sentence_share"]) == (8.0, 0.0, 0.0)
     assert stats.filter("key = 104").first()["lang"] == "de"
