@@ -23,7 +23,13 @@ from siltstone.session import spread
 
 STOP_WORDS = frozenset(w for line in FUNCTION_WORDS.values() for w in line.split())
 WORD = re.compile(r"[^\W\d_]+")
-ANCHOR = re.compile(r"<a\b[^>]{0,2000}>(.{0,2000}?)</a\s{0,9}>", re.S | re.I)
+ANCHOR = re.compile(r"<(/?)a(?=[\s>])", re.I)
+#: Signs between the entries of a line of links.
+BETWEEN = re.compile(r"[|·•>›»/→,;]| [-–—] ")
+#: Characters of an entry of a list of related links that reads as a sentence; longer ones are the article's.
+RELATED_ENTRY = 120
+#: Share of the letters of a block from which on it counts as links.
+DENSE_LINKS = 0.6
 MARKDOWN_LINK = re.compile(r"\[([^\]\n]+)\]\([^)\s]+\)")
 TAG = re.compile(r"<[^>]+>")
 BULLET = re.compile(r"^(?:[-*•+]|\d+[.)])\s+")
@@ -58,15 +64,38 @@ def site_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(re.sub(r"\d+", "0", plain(text)).encode()) - (1 << 63)
 
 
+def anchors(body: str) -> list[str]:
+    """What stands between the tags of each anchor of a body, whatever its length; one without an end ends at the next."""
+    out, begin = [], -1
+    for m in ANCHOR.finditer(body):
+        if begin >= 0:
+            out.append(body[begin : m.start()])
+        opened = -1 if m[1] else body.find(">", m.end())
+        begin = opened + 1 if opened >= 0 else -1
+    return out
+
+
 def links_of(body: str | None, content_type: str | None) -> frozenset[str]:
     """The texts of all links of a page, as plain() has them."""
     if not body:
         return frozenset()
     if "html" in (content_type or "") or "<a " in body:
-        return frozenset(plain(html.unescape(TAG.sub("", m))) for m in ANCHOR.findall(body))
+        return frozenset(plain(html.unescape(TAG.sub("", m))) for m in anchors(body))
     return frozenset(plain(m) for m in MARKDOWN_LINK.findall(body))
 
 
+def link_density(text: str, links: frozenset[str]) -> float:
+    """Share of the letters and digits of a block, as plain() has it, that stand in links: the whole block or entries
+    between signs."""
+    if not text or not links:
+        return 0.0
+    if text in links:
+        return 1.0
+    parts = [p.strip() for p in BETWEEN.split(text)]
+    size = lambda p: sum(map(str.isalnum, p))
+    return sum(size(p) for p in parts if p in links) / max(1, size(text)) if len(parts) > 1 else 0.0
+
+
 def first_pass(types: list[str], texts: list[str], title: str | None, links: frozenset[str], frequent: frozenset[int]) -> tuple[list[str], int]:
     """(label of each block, number of the article's own heading or -1). ASIDE is furniture that also stands between
     the blocks of an article and says nothing of its neighbours."""
@@ -76,7 +105,7 @@ def first_pass(types: list[str], texts: list[str], title: str | None, links: fro
     for kind, raw, text in zip(types, texts, flat):
         words = WORD.findall(text)
         stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        linked = text in links and kind != "heading"
+        linked = kind != "heading" and link_density(text, links) >= DENSE_LINKS
         if STARTS.match(text):
             label = ASIDE
         elif COPYRIGHT.match(text) or CONTENTS_LINE.match(text):
@@ -173,7 +202,7 @@ def labels_of(types: list[str], texts: list[str], title: str | None, links: froz
                 labels[i] = ASIDE
         elif listing:
             form = (types[i], bool(BULLET.match(texts[i])), lists[i])
-            entry = labels[i] in (SHORT, BAD) or labels[i] == GOOD and types[i] in ("list-item", "paragraph") and len(texts[i]) <= 120
+            entry = labels[i] in (SHORT, BAD) or labels[i] == GOOD and types[i] in ("list-item", "paragraph") and len(texts[i]) <= RELATED_ENTRY
             if labels[i] == ASIDE and not kind:
                 continue
             if i != own and entry and form[0] in ("list-item", "paragraph") and kind in ("", form) and not ENDED.search(texts[i]):

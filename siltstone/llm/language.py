@@ -51,11 +51,12 @@ def lines_of(text: str) -> list[str]:
     return [line for line in LINE.split(text) if line and not line.isspace()]
 
 
-def fit(rows: DataFrame, text: str = "normalized_content", label: str = "locale", sample_rows: int = 20_000, max_words: int = 40_000) -> dict[str, tuple]:
-    """Word scores {word: (score of each language)} from at most about sample_rows labelled rows and max_words words.
+def fit(rows: DataFrame, text: str = "normalized_content", label: str = "locale", sample_rows: int = 20_000) -> dict[str, tuple]:
+    """Word scores {word: (score of each language)} from at most about sample_rows labelled rows.
 
     The sample is drawn by a hash of the text, so it is the same on every run; its whole texts are counted on the
-    executors and only the word table comes to the driver. Scores are log shares of a word's frequency among the
+    executors and only the table of their words, as bounded as the sample, comes to the driver; words of fewer than three
+    of its rows tell nothing. Scores are log shares of a word's frequency among the
     languages against the best one, at least -6; words without a clear favourite are left out.
     """
     tag = F.lower(F.regexp_extract(F.trim(label), r"^([A-Za-z]+)(?:[-_]|$)", 1))
@@ -69,7 +70,7 @@ def fit(rows: DataFrame, text: str = "normalized_content", label: str = "locale"
         texts, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for content, tag in zip(texts, tags):
             seen[tag].update(set(WORD.findall(content.lower())))
-        flat = [(w, t, n) for t, words in seen.items() for w, n in words.items() if len(w) < 40]
+        flat = [(w, t, n) for t, words in seen.items() for w, n in words.items()]
         return {"word": [x[0] for x in flat], "tag": [x[1] for x in flat], "n": [x[2] for x in flat]}
 
     counts = map_arrow(spread(labelled), "word string, tag string, n long", count, pa.schema([("word", pa.string()), ("tag", pa.string()), ("n", pa.int64())]))
@@ -77,8 +78,7 @@ def fit(rows: DataFrame, text: str = "normalized_content", label: str = "locale"
         counts.groupBy("word")
         .agg(*[F.sum(F.when(F.col("tag") == t, F.col("n")).otherwise(0)).alias(t) for t in LANGUAGES], F.sum("n").alias("total"))
         .filter("total >= 3")
-        .orderBy(F.desc("total"), "word")
-        .limit(max_words)
+        .orderBy("word")
         .toPandas()
     )
     documents = labelled.groupBy("tag").count().collect()
