@@ -61,3 +61,24 @@ def missing_paths(wanted: DataFrame, found: DataFrame) -> DataFrame:
     """Requested paths that no file answers, as not-found anomalies."""
     gone = wanted.select("canonical_url").join(found.select("canonical_url"), "canonical_url", "left_anti")
     return gone.withColumn("outcome", F.lit("error")).withColumn("category", F.lit("not-found"))
+
+
+def path_items(spark: SparkSession, paths: list[str], source_id: str) -> DataFrame:
+    """Items of files named one by one, of any type, in their order (discovered); those that don't exist are not-found
+    anomalies."""
+    uri = [p if "://" in p or p.startswith("file:") else f"file://{p}" for p in paths]
+    wanted = spark.createDataFrame([(u, i) for i, u in enumerate(dict.fromkeys(uri))], "path string, discovered long")
+    config, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    there = [u for u in dict.fromkeys(uri) if (p := jvm.org.apache.hadoop.fs.Path(u)).getFileSystem(config).exists(p)]
+    plain = lambda c: F.regexp_replace(c, r"^file:/+", "/")
+    rows = None
+    if there:
+        read = spark.read.format("binaryFile").load(there).select(plain(F.col("path")).alias("key"), F.decode("content", "UTF-8").alias("body"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+        rows = wanted.withColumn("key", plain(F.col("path"))).join(read, "key", "left")
+    else:
+        rows = wanted.select("*", F.lit(None).cast("string").alias("body"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("timestamp").alias("modified"))
+    have = F.col("body").isNotNull()
+    return rows.select(
+        F.lit(source_id).alias("source_id"), F.col("path").alias("canonical_url"), base_name(F.col("path")).alias("title"), content_type(F.col("path")).alias("content_type"), "body", "size", "modified",
+        F.when(have, "fetched").otherwise("error").alias("outcome"), F.when(~have, "not-found").alias("category"), F.lit(None).cast("string").alias("message"), "discovered",
+    )

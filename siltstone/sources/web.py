@@ -47,7 +47,7 @@ def sitemap_locations(bodies: DataFrame) -> DataFrame:
     return of("page", "url").unionByName(of("sitemap", "sitemap"))
 
 
-def fetched(urls: DataFrame, fetch: Fetch, source_id: str = "", delay: float = 0.0, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def fetched(urls: DataFrame, fetch: Fetch, source_id: str = "", delay: float = 0.0, attempts: int = 3, sleep: Callable[[float], None] = time.sleep, **waits: float) -> DataFrame:
     """Items of (canonical_url[, content_type]). Failures are outcomes: 404 is skipped, the rest are errors. With a
     delay, rows are placed by host, so that one task owns a host and spaces its requests."""
     placed = urls.withColumn("host", F.coalesce(web_host(F.col("canonical_url")), F.lit("")))
@@ -71,7 +71,7 @@ def fetched(urls: DataFrame, fetch: Fetch, source_id: str = "", delay: float = 0
                     return headers, body
 
                 try:
-                    headers, body = with_retries(call, attempts, sleep=sleep)
+                    headers, body = with_retries(call, attempts, sleep=sleep, **waits)
                     kind = {k.lower(): v for k, v in headers.items()}.get("content-type") or getattr(row, "content_type", None) or "text/html"
                     rows.append((source_id, row.canonical_url, kind, body, "fetched", None, None, 200))
                 except Exception as problem:  # noqa: BLE001 - the failure is the item's outcome

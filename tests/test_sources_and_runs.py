@@ -93,6 +93,31 @@ def test_service_desk(spark):
     assert [r["category"] for r in none] == ["unavailable"]
 
 
+def test_service_desk_of_a_portal_page(spark):
+    page = lambda url: (200, {}, PORTAL)
+    bodies = lambda url: (200, {"title": "t", "body": "<p>x</p><a href='https://d/wiki/x/AbC'>short</a>"}) if url.endswith("/1") else get(url)
+    head = lambda shim: (302, {"Location": "/wiki/spaces/K/pages/3/t"})
+    source = {"id": "s", "type": "jira-service-management", "url": "https://d", "api_page_limit": 1}
+    got = registry.items(spark, source, {"get": bodies, "fetch": page, "head": head})
+    assert {(r["external_id"], r["outcome"]) for r in got.collect()} == {("1", "fetched"), ("2", "error"), ("3", "fetched")}
+    assert registry.items(spark, source | {"max_pages": 1}, {"get": bodies, "fetch": page, "head": head}).count() == 1
+
+
+def test_named_files(spark, tmp_path):
+    (tmp_path / "b.md").write_text("# B")
+    source = {"id": "s", "type": "local", "paths": [str(tmp_path / "b.md"), str(tmp_path / "none.md"), str(tmp_path / "b.md")]}
+    got = [(r["title"], r["outcome"], r["category"], r["body"], r["discovered"]) for r in registry.items(spark, source).orderBy("discovered").collect()]
+    assert got == [("b.md", "fetched", None, "# B", 0), ("none.md", "error", "not-found", None, 1)]
+    assert registry.items(spark, {"id": "s", "type": "local", "path": str(tmp_path / "none.md")}).first()["category"] == "not-found"
+
+
+def test_options_by_type():
+    kept = registry.extraction_options({"type": "webdriver", "url": "https://A.b/x", "internal_link_hosts": ["c.d"], "remove_selectors": [".x"]})
+    assert kept == {"remove_selectors": [".x"], "preserve_external_links": True, "internal_hosts": ["a.b", "c.d"]}
+    assert registry.extraction_options({"type": "website", "sitemap_url": "x"}) == {}
+    assert registry.retry_options({"request_max_retries": 5, "request_retry_initial_ms": 250}) == {"attempts": 5, "first": 0.25}
+
+
 def test_service_desk_falls_back_to_a_crawl(spark):
     source = {"id": "s", "type": "jira-service-management", "url": "https://a/p1", "categories": ["5"], "allowed_url_prefixes": ["https://a/"]}
     silent = lambda url: (200, {"values": [{"id": 9}]}) if "/categories/" in url else (404, {})
