@@ -43,24 +43,29 @@ def parser() -> argparse.ArgumentParser:
     return main
 
 
-def run(argv: list[str], spark, embedder: Callable[[dict], Callable] | None = None, transports: dict | None = None, out=print) -> int:
+def run(argv: list[str], spark, embedder: Callable[[dict], Callable] | None = None, transports: dict | None = None, out=print, verifier: Callable[[dict], Callable] | None = None) -> int:
     """Everything but the session and the network is here; both are given from outside."""
     from siltstone.operators import gate, search
     from siltstone.operators.embedding import HashEmbedder
     from siltstone.operators.refresh import Refresh
     from siltstone.operators.store import LifecycleError, Store, listed_runs
+    from siltstone.operators.verification import Verification
+    from siltstone.sources.registry import retry_options
 
     try:
         args = parser().parse_args(argv)
     except SystemExit as stop:
         return USAGE if stop.code else OK
     store = Store(spark, args.store)
-    loaded = settings.load(args.config)[0] if args.config else {"indexes": []}
+    loaded, mark = settings.load(args.config) if args.config else ({"indexes": []}, None)
+    checks = loaded.get("verification") or {}
+    attestations = checks.get("attestations") or {}
+    verification = Verification(verifier(checks) if verifier and checks.get("provider", "noop") != "noop" else None, checks, retries=retry_options(checks, ""), prose=bool(checks.get("prose_summary")))
     make = embedder or (lambda index: HashEmbedder(index["embedding"]["embedding_dimensions"]))
-    refresh = Refresh(spark, store, transports or {}, {i["name"]: make(i) for i in loaded["indexes"] if (i.get("embedding") or {}).get("provider", "noop") != "noop"})
+    refresh = Refresh(spark, store, transports or {}, {i["name"]: make(i) for i in loaded["indexes"] if (i.get("embedding") or {}).get("provider", "noop") != "noop"}, verification, attestor=attestations.get("attestor", "local"), trusted=attestations.get("trusted") or [], config_hash=mark)
     try:
         if args.command == "crawl":
-            limits = gate.Thresholds(**((loaded.get("verification") or {}).get("deterministic_thresholds") or {}))
+            limits = gate.Thresholds(**(checks.get("deterministic_thresholds") or {}))
             results = refresh.run_all(settings.selected(loaded, args.index), limits, (loaded.get("retention") or {}).get("max_age_days"))
             for r in results:
                 out(r.get("report") or f"{r['index_name']}: {r['error']}")
@@ -69,8 +74,12 @@ def run(argv: list[str], spark, embedder: Callable[[dict], Callable] | None = No
         if args.command == "runs":
             for r in listed_runs(store.runs().withColumnRenamed("run_id", "id"), args.index, args.limit).toLocalIterator():
                 out(f"{r['id']} {r['index_name']} {r['lifecycle_status']} {r['verification_verdict']} {r['started_at']}")
+        elif args.command == "migrate":
+            out(f"layout {store.migrate()}")
         elif args.command == "report":
-            out(str(store.require(args.run_id)))
+            store.require(args.run_id)
+            kept = store.read("reports", args.run_id).first()
+            out(kept["report"] if kept else f"{args.run_id} has no report")
         elif args.command == "activate":
             store.activate(args.run_id, args.allow_caution)
         elif args.command == "reject":

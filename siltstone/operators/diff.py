@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import segments
+from siltstone.session import stored
 
 IDENTITY = ("source_id", "canonical_url")
 CLASSES = ("added", "removed", "changed", "moved")
@@ -47,9 +48,16 @@ def diff_summary(diff: DataFrame, previous: DataFrame, current: DataFrame) -> Da
 
 
 def listed(diff: DataFrame) -> DataFrame:
-    """With a position in each class by address, then source."""
-    order = Window.partitionBy("change_type").orderBy("canonical_url", "source_id", "previous_url")
-    return diff.withColumn("position", F.row_number().over(order))
+    """With a position in each class by address, then source. Rows are placed by ranges of class and address and
+    numbered within their range, so that a class is spread over all tasks; only the sizes of ranges are added up."""
+    order = ["change_type", "canonical_url", "source_id", "previous_url"]
+    ranged = stored(diff.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    sizes = ranged.groupBy("change_type", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("change_type").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("change_type", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("change_type", "range").orderBy(*order[1:])
+    numbered = ranged.withColumn("nth", F.row_number().over(within)).join(starts, ["change_type", "range"])
+    return numbered.withColumn("position", (F.col("before") + F.col("nth")).cast("int")).select(*diff.columns, "position")
 
 
 def first_changes(diff: DataFrame, limit: int = 50) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -72,8 +73,9 @@ def fingerprint(config: dict) -> str:
     return hashlib.sha256(json.dumps(chosen, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def embedded(missing: DataFrame, embedder: Embedder, text: str = "content", size: int = MAX_BATCH, attempts: int = 3, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """(content_hash, embedding) of (content_hash, text), in batches of at most `size` texts, retried inside the task.
+def embedded(missing: DataFrame, embedder: Embedder, text: str = "content", size: int = MAX_BATCH, attempts: int = 3, sleep: Callable[[float], None] | None = None, delay: float = 0.0, **waits: float) -> DataFrame:
+    """(content_hash, embedding) of (content_hash, text), in batches of at most `size` texts, `delay` seconds apart, retried
+    inside the task.
     A provider that returns another number of vectors than it got texts fails the job."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,7 +83,9 @@ def embedded(missing: DataFrame, embedder: Embedder, text: str = "content", size
             vectors: list[list[float]] = []
             for at in range(0, len(frame), size):
                 texts = frame[text].iloc[at : at + size].tolist()
-                found = with_retries(lambda texts=texts: embedder(texts), attempts, sleep=sleep)
+                if delay and at:
+                    (sleep or time.sleep)(delay)
+                found = with_retries(lambda texts=texts: embedder(texts), attempts, sleep=sleep, **waits)
                 if len(found) != len(texts):
                     raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
                 vectors += found

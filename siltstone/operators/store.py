@@ -1,29 +1,36 @@
-"""Runs, pointers, partitions and the lifecycle of an index, on plain Parquet.
+"""Runs, pointers, content and the lifecycle of an index, on plain files of any Hadoop file system.
 
-Run content is written under a folder per run and becomes visible by a marker; the state of a run is the fold of an
-append-only log; pointers are one small file per index, replaced atomically. Folders are named by the caller and have
-to be shared by all executors. One writer per index holds a lock file.
+The state of a run is the fold of its own append-only log; the content of a run becomes visible, all its tables at once,
+by a commit file that names their folders; pointers are appended too, the last one holds. One writer per index holds a
+lease that it renews and that lapses with its holder. Nothing needs an atomic rename.
 """
 
 from __future__ import annotations
 
 import json
-import os
+import threading
 import time
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import UTC, datetime, timedelta
-from pathlib import Path
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators.folder import Folder
+
 STATES = ("created", "crawling", "embedding", "verifying", "complete", "activated", "superseded", "rejected", "error")
 UNFINISHED = ("created", "crawling", "embedding", "verifying")
 PRUNABLE = ("complete", "superseded", "rejected", "error")
 VERDICTS = ("pass", "caution", "fail")
 CONTENT = ("sources", "documents", "chunks", "diffs", "verifications", "reports")
+#: The folders that each version of the layout added.
+FOLDERS = {1: ("runs", "pointers", "leases", "commits"), 2: ("attestations",)}
+LAYOUT = max(FOLDERS)
+#: Seconds that a lease holds without being renewed.
+LEASE = 120
 RUN_EVENTS = "run_id string, index_name string, state string, verdict string, metadata string, event string, at timestamp, position long"
 
 
@@ -47,6 +54,19 @@ def fold_runs(events: DataFrame) -> DataFrame:
     )
 
 
+def folded(events: list[dict]) -> dict | None:
+    """fold_runs() of the events of one run."""
+    if not events:
+        return None
+    events = sorted(events, key=lambda e: (e["at"], e["position"]))
+    last = lambda name: next((e[name] for e in reversed(events) if e.get(name) is not None), None)
+    when = lambda *states: max((e["at"] for e in events if e["state"] in states), default=None)
+    return {
+        "run_id": events[0]["run_id"], "index_name": events[0]["index_name"], "lifecycle_status": events[-1]["state"], "verification_verdict": last("verdict"),
+        "started_at": events[0]["at"], "finished_at": when("complete", "error"), "activated_at": when("activated"), "rejected_at": when("rejected"), "metadata": last("metadata"),
+    }
+
+
 def latest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Upsert semantics over an append-only table: the last row of each key."""
     rank = Window.partitionBy(*keys).orderBy(*order)
@@ -84,12 +104,16 @@ def prune_candidates(runs: DataFrame, indexes: DataFrame, older_than=None, statu
     return found.orderBy("index_name", "started_at", "id").drop("newest")
 
 
-def referenced(attestations: DataFrame, verifications: DataFrame, pruned: DataFrame) -> DataFrame:
-    """Attestations to keep after pruning: all but those that only pruned runs refer to."""
+def orphaned(verifications: DataFrame, pruned: DataFrame) -> DataFrame:
+    """(input_hash) that only pruned runs refer to."""
     of_pruned = verifications.join(pruned.select("run_id"), "run_id", "left_semi").select("input_hash").distinct()
     of_others = verifications.join(pruned.select("run_id"), "run_id", "left_anti").select("input_hash").distinct()
-    orphans = of_pruned.join(of_others, "input_hash", "left_anti")
-    return attestations.join(orphans, "input_hash", "left_anti")
+    return of_pruned.join(of_others, "input_hash", "left_anti").filter("input_hash is not null")
+
+
+def referenced(attestations: DataFrame, verifications: DataFrame, pruned: DataFrame) -> DataFrame:
+    """Attestations to keep after pruning: all but those that only pruned runs refer to."""
+    return attestations.join(orphaned(verifications, pruned), "input_hash", "left_anti")
 
 
 def trusted_result(attestations: DataFrame, trusted: list[str]) -> DataFrame:
@@ -107,31 +131,52 @@ class Store:
     """The folders of one installation. clock is injected for tests."""
 
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] = lambda: datetime.now(UTC).replace(tzinfo=None)):
-        self.spark, self.root, self.clock = spark, Path(root), clock
-        for name in ("runs", "pointers", "locks", *CONTENT):
-            (self.root / name).mkdir(parents=True, exist_ok=True)
+        self.spark, self.root, self.clock = spark, root, clock
+        self.folder = Folder(spark, root)
+        self.migrate()
+
+    def migrate(self) -> int:
+        """Bring the folders to the layout this code writes, step by step from the version they have; returns that of
+        the layout. Folders of a newer layout are refused."""
+        held = int(self.folder.read("version") or 0)
+        if held > LAYOUT:
+            raise LifecycleError(f"the store has layout {held}, this code knows {LAYOUT}")
+        for version in range(held + 1, LAYOUT + 1):
+            for name in FOLDERS[version]:
+                self.folder.make(name)
+            self.folder.write(str(version), "version")
+        return LAYOUT
+
+    def _json(self, schema: str, *names: str) -> DataFrame:
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(self.folder.name(*names))
+
+    def _append(self, row: dict, *names: str) -> str:
+        """row, with its position, as the last file of a folder."""
+        position = time.time_ns()
+        file = f"{position:020d}-{uuid.uuid4().hex}.json"
+        self.folder.write(json.dumps({"position": position} | row, default=lambda x: x.isoformat(sep=" ")), *names, file)
+        return file
+
+    def _rows(self, *names: str) -> list[dict]:
+        return [json.loads(self.folder.read(*names, n)) for n in self.folder.list(*names) if n.endswith(".json")]
 
     # log of runs
     def record(self, run_id: str, index: str, state: str | None, event: str, verdict: str | None = None, metadata: dict | None = None) -> None:
         if state is not None and state not in STATES or verdict is not None and verdict not in VERDICTS:
             raise ValueError(f"unknown state or verdict: {state}, {verdict}")
-        held = self.run(run_id) if event != "created" else None
-        merged = (json.loads(held["metadata"] or "{}") if held else {}) | (metadata or {})
-        row = {"run_id": run_id, "index_name": index, "state": state or (held or {}).get("lifecycle_status"), "verdict": verdict, "metadata": json.dumps(merged, sort_keys=True), "event": event, "at": self.clock(), "position": time.time_ns()}
-        path = self.root / "runs" / f"{row['position']:020d}-{uuid.uuid4().hex}.json"
-        temporary = path.with_suffix(".tmp")
-        temporary.write_text(json.dumps(row | {"at": row["at"].isoformat(sep=" ")}))
-        os.replace(temporary, path)
+        held = (self.run(run_id) if event != "created" else None) or {}
+        merged = json.loads(held.get("metadata") or "{}") | (metadata or {})
+        self._append({"run_id": run_id, "index_name": index, "state": state or held.get("lifecycle_status"), "verdict": verdict, "metadata": json.dumps(merged, sort_keys=True), "event": event, "at": self.clock()}, "runs", run_id)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(RUN_EVENTS).option("pathGlobFilter", "*.json").json(str(self.root / "runs"))
+        return self._json(RUN_EVENTS, "runs")
 
     def runs(self) -> DataFrame:
         return fold_runs(self.events())
 
     def run(self, run_id: str) -> dict | None:
-        row = fold_runs(self.events().filter(F.col("run_id") == run_id)).first()
-        return row.asDict() if row else None
+        """The state of a run from its own log, without a job."""
+        return folded([e | {"at": datetime.fromisoformat(e["at"])} for e in self._rows("runs", run_id)])
 
     def create_run(self, index: str, metadata: dict | None = None) -> str:
         run_id = str(uuid.uuid4())
@@ -139,41 +184,93 @@ class Store:
         return run_id
 
     # content of runs
+    def committed(self, run_id: str) -> dict[str, str]:
+        """The folder of each table of a run."""
+        names = self.folder.list("commits", run_id)
+        return json.loads(self.folder.read("commits", run_id, names[-1]))["tables"] if names else {}
+
+    def persist(self, run_id: str, tables: dict[str, DataFrame]) -> None:
+        """Write tables of a run; they become visible together, in place of those written before, which are deleted."""
+        version, placed = uuid.uuid4().hex, {}
+        for table, df in tables.items():
+            placed[table] = f"{table}/{run_id}/{version}"
+            df.withColumn("run_id", F.lit(run_id)).write.parquet(self.folder.name(placed[table]))
+        held = self.committed(run_id)
+        self._append({"run_id": run_id, "tables": held | placed}, "commits", run_id)
+        for table in set(held) & set(placed):
+            self.folder.delete(held[table])
+
     def write(self, table: str, run_id: str, df: DataFrame) -> None:
-        """Into a staging folder, then under the run's own name in one step; writing again replaces."""
-        staged, final = self.root / table / f".staged-{uuid.uuid4().hex}", self.root / table / f"run_id={run_id}"
-        df.drop("run_id").write.parquet(str(staged))
-        if final.exists():
-            os.replace(final, self.root / table / f".old-{uuid.uuid4().hex}")
-        os.replace(staged, final)
+        self.persist(run_id, {table: df})
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
-        """A table over its runs; a run's rows come from its folder alone."""
-        df = self.spark.read.option("basePath", str(self.root / table)).option("mergeSchema", "true").parquet(str(self.root / table / "run_id=*"))
-        return df if run_id is None else df.filter(F.col("run_id") == run_id)
+        """A table over its runs; a run's rows come from its folder alone. Without any it is empty."""
+        from siltstone.operators import schema
+
+        if run_id is not None:
+            paths = [p for t, p in self.committed(run_id).items() if t == table]
+        else:
+            commits = self._json("run_id string, position long, tables map<string,string>", "commits")
+            last = commits.groupBy("run_id").agg(F.max_by(F.col("tables")[table], "position").alias("path"))
+            paths = [r["path"] for r in last.filter("path is not null").select("path").toLocalIterator()]  # one for each run
+        if not paths:
+            return schema.empty(self.spark, table)
+        return self.spark.read.option("mergeSchema", "true").parquet(*map(self.folder.name, paths))
 
     def drop_run(self, run_id: str) -> None:
-        for table in CONTENT:
-            folder = self.root / table / f"run_id={run_id}"
-            if folder.exists():
-                os.replace(folder, self.root / table / f".old-{uuid.uuid4().hex}")
-        for path in (self.root / "runs").glob("*.json"):
-            if json.loads(path.read_text())["run_id"] == run_id:
-                path.unlink()
+        """Delete a run: first what makes it visible, then its content and its log."""
+        for name in ("commits", *CONTENT, "runs"):
+            self.folder.delete(name, run_id)
+
+    def save_verification(self, run_id: str, deterministic: str, result: dict, findings: list[dict], attestor: str = "local") -> None:
+        from siltstone.operators import schema
+
+        llm = result.get("llm") or {}
+        row = (run_id, deterministic, llm.get("verdict"), result["verdict"], [tuple(f[k] for k in ("check", "verdict", "actual", "threshold")) for f in findings], result.get("input_hash"), result["source"], attestor)
+        self.persist(run_id, {"verifications": self.spark.createDataFrame([row], schema.TABLES["verifications"]).coalesce(1)})
+
+    def save_report(self, run_id: str, summary: str, text: str) -> None:
+        from siltstone.operators import schema
+
+        self.persist(run_id, {"reports": self.spark.createDataFrame([(run_id, summary, text)], schema.TABLES["reports"]).coalesce(1)})
+
+    # results of verifiers
+    def attest(self, input_hash: str, attestor: str, payload: dict) -> None:
+        """Put down a result, or that it was used again; the first creation stays."""
+        now = self.clock()
+        held = [r for r in self._rows("attestations", input_hash) if r["attestor"] == attestor]
+        created = min((datetime.fromisoformat(r["created_at"]) for r in held), default=now)
+        self._append({"input_hash": input_hash, "attestor": attestor, "payload": json.dumps(payload, sort_keys=True), "created_at": created, "last_used_at": now}, "attestations", input_hash)
+
+    def attestations(self) -> DataFrame:
+        return upserted_attestations(self._json("input_hash string, attestor string, payload string, created_at timestamp, last_used_at timestamp", "attestations"))
+
+    def attested(self, input_hash: str, attestors: list[str]) -> tuple[str, dict] | None:
+        """(attestor, payload): the newest result of the first of the attestors that has one."""
+        rows = self._rows("attestations", input_hash)
+        for attestor in attestors:
+            own = [r for r in rows if r["attestor"] == attestor]
+            if own:
+                return attestor, json.loads(max(own, key=lambda r: (r["last_used_at"], r["position"]))["payload"])
+        return None
 
     # pointers
     def pointer(self, index: str) -> dict:
-        path = self.root / "pointers" / f"{index}.json"
-        return json.loads(path.read_text()) if path.exists() else {"name": index, "live_run_id": None, "previous_live_run_id": None}
+        rows = self._rows("pointers", quote(index, safe=""))
+        held = rows[-1] if rows else {"name": index, "live_run_id": None, "previous_live_run_id": None}
+        return {k: held[k] for k in ("name", "live_run_id", "previous_live_run_id")}
 
     def point(self, index: str, live: str | None, previous: str | None) -> None:
-        path = self.root / "pointers" / f"{index}.json"
-        temporary = path.with_suffix(f".{uuid.uuid4().hex}")
-        temporary.write_text(json.dumps({"name": index, "live_run_id": live, "previous_live_run_id": previous}))
-        os.replace(temporary, path)
+        folder = quote(index, safe="")
+        old = self.folder.list("pointers", folder)
+        self._append({"name": index, "live_run_id": live, "previous_live_run_id": previous}, "pointers", folder)
+        for name in old[:-1]:
+            self.folder.delete("pointers", folder, name)
 
     def pointers(self) -> DataFrame:
-        return self.spark.read.schema("name string, live_run_id string, previous_live_run_id string").option("pathGlobFilter", "*.json").json(str(self.root / "pointers"))
+        rows = self._json("name string, live_run_id string, previous_live_run_id string, position long", "pointers")
+        last = rows.groupBy("name").agg(F.max_by(F.struct("live_run_id", "previous_live_run_id"), "position").alias("last"))
+        return last.select("name", "last.*")
 
     # transitions
     def activate(self, run_id: str, allow_caution: bool = False) -> None:
@@ -208,14 +305,20 @@ class Store:
         return previous
 
     def prune(self, **criteria) -> list[str]:
+        """Delete the runs that prune_candidates() names, and the results of verifiers that only they refer to."""
         runs = self.runs().withColumnRenamed("run_id", "id")
         gone = [r["id"] for r in prune_candidates(runs, self.pointers(), **criteria).select("id").toLocalIterator()]
-        for run_id in gone:
-            self.drop_run(run_id)
+        if gone:
+            pruned = self.spark.createDataFrame([(g,) for g in gone], "run_id string")
+            unused = [r["input_hash"] for r in orphaned(self.read("verifications"), pruned).toLocalIterator()]  # one for each pruned run at most
+            for run_id in gone:
+                self.drop_run(run_id)
+            for input_hash in unused:
+                self.folder.delete("attestations", input_hash)
         return gone
 
     def reconcile(self, minutes: int = 360) -> list[str]:
-        """Unfinished runs whose index nobody holds become errors; those only created when they are stale."""
+        """Unfinished runs whose index nobody holds any more become errors; those only created when they are stale."""
         changed = []
         for r in self.runs().filter(F.col("lifecycle_status").isin(*UNFINISHED)).toLocalIterator():
             stale = r["started_at"] < self.clock() - timedelta(minutes=minutes)
@@ -230,26 +333,55 @@ class Store:
             raise LifecycleError(f"no run {run_id}")
         return run
 
-    # locks
-    def lock_path(self, index: str) -> Path:
-        return self.root / "locks" / index
+    # leases
+    def lease(self, index: str) -> dict | None:
+        """Owner and end of the lease of an index, None if nobody holds it."""
+        text = self.folder.read("leases", f"{quote(index, safe='')}.json")
+        held = json.loads(text) if text else None
+        return held if held and datetime.fromisoformat(held["until"]) >= self.clock() else None
 
     def is_locked(self, index: str) -> bool:
-        return self.lock_path(index).exists()
+        return self.lease(index) is not None
 
     @contextmanager
-    def lock(self, index: str):
-        """Exclusive use of an index; a second holder fails at once."""
-        try:
-            handle = os.open(self.lock_path(index), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-        except FileExistsError:
-            raise LifecycleError(f"{index} is in use") from None
-        os.write(handle, str(os.getpid()).encode())
-        os.close(handle)
+    def lock(self, index: str, seconds: float = LEASE):
+        """Exclusive use of an index; a second holder fails at once. The lease is renewed while it is held, and lapses
+        `seconds` after its holder is gone. Yields a check that fails once the lease was lost."""
+        owner, file = uuid.uuid4().hex, f"{quote(index, safe='')}.json"
+
+        def put() -> None:
+            self.folder.write(json.dumps({"owner": owner, "until": (self.clock() + timedelta(seconds=seconds)).isoformat()}), "leases", file)
+
+        def check() -> None:
+            held = self.lease(index)
+            if held is None or held["owner"] != owner:
+                raise LifecycleError(f"the lease of {index} was lost")
+
+        if self.is_locked(index):
+            raise LifecycleError(f"{index} is in use")
+        put()
+        time.sleep(0.05)
+        if (self.lease(index) or {}).get("owner") != owner:  # somebody else wrote at the same time
+            raise LifecycleError(f"{index} is in use")
+        done = threading.Event()
+
+        def renew() -> None:
+            while not done.wait(seconds / 3):
+                try:
+                    check()
+                    put()
+                except LifecycleError:
+                    return
+
+        keeper = threading.Thread(target=renew, daemon=True)
+        keeper.start()
         try:
-            yield
+            yield check
         finally:
-            self.lock_path(index).unlink(missing_ok=True)
+            done.set()
+            keeper.join()
+            if (self.lease(index) or {}).get("owner") == owner:
+                self.folder.delete("leases", file)
 
 
 def not_activatable(run: dict, allow_caution: bool = False) -> str | None:

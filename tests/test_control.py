@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -6,7 +7,7 @@ import pytest
 from siltstone import config
 from siltstone.operators import report
 from siltstone.operators.store import LifecycleError, Store, auto_action, not_activatable
-from siltstone.operators.verification import Packer, PromptTooLarge, Verification, build_prompts, combine, input_hash, parse_result, wants_prose, with_prose
+from siltstone.operators.verification import HttpVerifier, Packer, PromptTooLarge, Verification, build_prompts, combine, input_hash, parse_result, wants_prose, with_prose
 from siltstone.sources.retry import RequestFailed, category, failure, seconds_after, with_retries
 
 
@@ -86,6 +87,79 @@ def test_lock_and_orphans(store):
         store.record(run, "i", "nonsense", "x")
 
 
+def test_a_lease_lapses_with_its_holder(store):
+    run = store.create_run("i")
+    store.record(run, "i", "crawling", "crawling")
+    gone = store.lock("i", 120)
+    check = gone.__enter__()
+    assert store.is_locked("i") and store.reconcile() == []
+    store.turn(1)  # the holder was killed: nothing renewed the lease
+    assert not store.is_locked("i") and store.reconcile() == [run]
+    with pytest.raises(LifecycleError, match="lost"):
+        check()
+    with store.lock("i") as held:
+        held()
+        gone.__exit__(None, None, None)
+        held()
+
+
+def test_leases_are_renewed(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    with store.lock("i", 1.5) as check:
+        first = store.lease("i")["until"]
+        time.sleep(2.5)
+        check()
+        assert store.lease("i")["until"] > first
+    assert store.lease("i") is None
+
+
+def test_tables_of_a_run_show_together_and_pruning_frees(spark, store, tmp_path):
+    frame = spark.createDataFrame([("s", "u")], "source_id string, canonical_url string")
+    old, new = complete(store), complete(store)
+    assert store.read("documents").count() == 0 and store.read("chunks", old).count() == 0
+    for run in (old, new):
+        store.persist(run, {"documents": frame, "sources": frame})
+    with pytest.raises(Exception, match="no column|cannot be resolved|UNRESOLVED"):
+        store.persist(new, {"documents": frame.limit(0), "chunks": frame.select("nothing")})
+    assert store.read("documents", new).count() == 1
+    files = lambda: [p for p in (tmp_path / "store").rglob("*.parquet") if p.is_file()]
+    before = len(files())
+    store.persist(new, {"documents": frame})
+    assert len(files()) == before and store.read("documents").count() == 2
+    store.drop_run(old)
+    assert not [p for p in (tmp_path / "store").rglob("*") if old in str(p)] and store.run(old) is None
+    assert store.read("documents").count() == 1
+
+
+def test_results_outlive_only_runs_that_refer_to_them(store):
+    runs = [complete(store) for _ in range(3)]
+    for run, key in zip(runs, ("a", "b", "b")):
+        store.save_verification(run, "pass", {"verdict": "caution", "llm": {"verdict": "caution"}, "source": "provider", "input_hash": key}, [{"check": "c", "verdict": "pass", "actual": 1.0, "threshold": 2.0}])
+        store.attest(key, "local", {"verdict": "caution"})
+        store.save_report(run, "short", "long")
+    store.turn(1)
+    store.attest("b", "other", {"verdict": "pass"})
+    store.attest("b", "local", {"verdict": "fail"})
+    assert store.attested("b", ["none", "other", "local"]) == ("other", {"verdict": "pass"}) and store.attested("b", ["local"])[1] == {"verdict": "fail"}
+    kept = {(r["input_hash"], r["attestor"]): r for r in store.attestations().collect()}
+    assert len(kept) == 3 and kept["b", "local"]["created_at"] < kept["b", "local"]["last_used_at"]
+    row = store.read("verifications", runs[0]).first()
+    assert (row["deterministic_verdict"], row["final_verdict"], row["findings"][0]["check"], row["input_hash"]) == ("pass", "caution", "c", "a")
+    assert store.read("reports", runs[0]).first()["report"] == "long" and store.read("reports").count() == 3
+    store.point("i", runs[2], None)
+    store.turn(90)
+    assert store.prune(statuses=["complete"]) == runs[:2]
+    assert {(r["input_hash"], r["attestor"]) for r in store.attestations().collect()} == {("b", "local"), ("b", "other")}
+
+
+def test_layouts(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    assert store.migrate() == 2
+    store.folder.write("99", "version")
+    with pytest.raises(LifecycleError, match="layout 99"):
+        Store(spark, str(tmp_path / "s"))
+
+
 GOOD = {"indexes": [{"name": "i", "embedding": {"provider": "hash", "embedding_dimensions": 8}, "sources": [{"id": "s", "type": "local", "root": "/x"}]}]}
 
 
@@ -207,6 +281,35 @@ def test_trusted_results_go_first():
     assert Verification(None).run(BASE, [], "pass")["verdict"] == "caution"
 
 
+def test_providers_of_answers():
+    seen = []
+    chat = lambda p: (seen.append(p), {"choices": [{"message": {"content": "ok"}}]})[1]
+    assert HttpVerifier("openai", chat, {"model": "m"})("hello") == HttpVerifier("azure-openai", chat, {"top_p": 0.5})("hello") == "ok"
+    assert seen[0]["model"] == "m" and seen[0]["temperature"] == 0 and "model" not in seen[1] and seen[1]["top_p"] == 0.5 and "temperature" not in seen[1]
+    vertex = lambda p: (seen.append(p), {"candidates": [{"content": {"parts": [{"text": "fine"}]}}]})[1]
+    assert HttpVerifier("vertex-ai", vertex, {"max_output_tokens": 9})("hello") == "fine" and seen[2]["generationConfig"]["maxOutputTokens"] == 9
+    with pytest.raises(ValueError):
+        HttpVerifier("other", chat)
+
+
+def test_calls_are_retried_summed_up_and_old_results_refreshed():
+    calls, waits = [], []
+
+    def answer(prompt):
+        calls.append(prompt)
+        if len(calls) == 1:
+            raise RequestFailed(503)
+        return "all in one line" if "short paragraph" in prompt else json.dumps({"verdict": "caution", "reasoning": f"r{len(calls)}"})
+
+    docs = [document(f"/{i}", 3, 900) for i in range(3)]
+    made = Verification(answer, retries={"attempts": 2, "sleep": waits.append}, prose=True)
+    result = made.run({"index_name": "i", "diff": {}}, docs, "pass", 5000)
+    assert len(waits) == 1 and result["llm"]["reasoning"] == "all in one line" and result["llm"]["verdict"] == "caution"
+    old = {"verdict": "pass", "batches": [{"verdict": "pass", "reasoning": "x"}, {"verdict": "fail", "reasoning": "y"}]}
+    again = Verification(answer, saved=lambda key: old).run({"index_name": "i", "diff": {}}, docs, "pass", 5000)
+    assert again["verdict"] == "fail" and again["source"] == "cache" and again["llm"]["tallies"] == {"pass": 1, "caution": 0, "fail": 1}
+
+
 def test_report_and_notice():
     run = {"index_name": "i", "verdict": "caution", "document_count": 3, "diff": {"added_count": 1}, "findings": [{"check": "c", "verdict": "caution", "actual": 2, "threshold": 1}], "timings": {"crawl": 12.3}}
     text = report.full_report(run, [{"source_id": "s", "document_count": 3, "error_count": 1}], [{"change_type": "added", "canonical_url": "/<a>" + "x" * 200}], 2)

@@ -186,6 +186,36 @@ def test_refresh_end_to_end(spark, site):
     assert store.pointer("i")["live_run_id"] == again["run_id"]
 
 
+def test_evidence_results_and_reports_of_a_run(spark, site):
+    root, index, store, refresh = site
+    index, prompts = index | {"auto_activate": False}, []
+    refresh.verification = Verification(lambda p: (prompts.append(p), '{"verdict": "pass", "reasoning": "ok"}')[1])
+    store.activate(refresh.run_index(index)["run_id"])
+    (root / "a.html").write_text("<html lang='en'><h1>Alpha</h1><p>The first page is about boats and the sea.</p></html>")
+    (root / "b.html").unlink()
+    prompts.clear()
+    second = refresh.run_index(index)
+    whole = "\n".join(prompts)
+    assert '"removed_segments": ["The first page is about ships and the sea."]' in whole and '"added_segments": ["The first page is about boats and the sea."]' in whole
+    assert '"classification": "changed"' in whole and "b.html" in prompts[-1]
+    row = store.read("verifications", second["run_id"]).first()
+    assert (row["llm_verdict"], row["result_source"], row["final_verdict"]) == ("pass", "provider", second["verdict"])
+    assert store.attested(row["input_hash"], ["local"])[1]["verdict"] == "pass"
+    assert store.read("reports", second["run_id"]).first()["report"] == second["report"]
+    prompts.clear()
+    third = refresh.run_index(index)
+    assert not prompts and store.read("verifications", third["run_id"]).first()["result_source"] == "cache"
+    other = Refresh(spark, store, embedders=refresh.embedders, verification=refresh.verification, attestor="mine", trusted=["local"])
+    assert store.read("verifications", other.run_index(index)["run_id"]).first()["result_source"] == "trusted"
+
+
+def test_the_first_discovered_stays(spark, site):
+    _, index, _, refresh = site
+    registry.register("twice", lambda spark, source, transports: spark.createDataFrame([("https://a/x", "z first", "text/plain", "one one"), ("https://a/x", "a later", "text/plain", "two two")], "canonical_url string, title string, content_type string, body string").coalesce(1))
+    docs, _ = refresh.source_documents({"id": "s", "type": "twice"})
+    assert [r["title"] for r in docs.collect()] == ["z first"]
+
+
 def test_a_failing_index_leaves_the_live_run(spark, site, monkeypatch):
     root, index, store, refresh = site
     monkeypatch.setattr(refresh, "reusable", lambda *a: 1 / 0)
