@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import globs, text, tokens, urls, vectors
-from siltstone.operators import language_choice, pipeline
-from siltstone.session import spread, table
+from siltstone.operators import pipeline
+from siltstone.session import table
 from siltstone.sources.files import content_type
 
 _SQL: dict[str, str] = {}
@@ -172,13 +172,6 @@ def chunked(spark: SparkSession, base: str) -> DataFrame:
     return pipeline.chunks(docs, 200).select("extract_id", "chunk_index", "chunk_count", "content_hash", "estimated_tokens", "heading_path").distinct()
 
 
-@query()
-def document_languages(spark: SparkSession, base: str) -> DataFrame:
-    docs = spread(table(spark, base, "extracted_documents").select("extract_id", "html_locale", "normalized_content"))
-    found = language_choice.annotated(docs, mode="auto", fallback="en")
-    return found.select("extract_id", "locale", "language_source", F.round("language_confidence", 4).alias("confidence")).distinct()
-
-
 def queries() -> dict:
     return dict(_QUERIES)
 
