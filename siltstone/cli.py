@@ -103,9 +103,14 @@ def run(argv: list[str], spark, embedder: Callable[[dict], Callable] | None = No
 
 
 def main() -> None:
-    from siltstone.session import get_session
+    from siltstone.session import get_session, release
 
-    sys.exit(run(sys.argv[1:], get_session("siltstone")))
+    spark = get_session("siltstone")
+    try:
+        code = run(sys.argv[1:], spark)
+    finally:
+        release(spark)
+    sys.exit(code)
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from siltstone.functions.tokens import cost_parts, estimate_one, pieces, total
+from siltstone.functions.tokens import cost_parts, estimate_one, pieces, sentence_list, total
 
 DEFAULT_BUDGET = 6550
 
@@ -28,12 +28,16 @@ def parts_of(block: dict, budget: int) -> list[str]:
     context = context_of(block)
     if context is None or estimate_one(context) >= budget:
         return pieces(block["text"], budget)
+    whole = sentence_list(block["text"])
+    sizes = list(map(estimate_one, whole))
     width = max(1, budget - estimate_one(context))
     while True:
         found = pieces(block["text"], width)
-        if width == 1 or all(estimate_one(f"{context}\n{p}") <= budget or opened(block, p, budget) == p and estimate_one(p) <= budget for p in found):
+        bad = [p for p in found if estimate_one(f"{context}\n{p}") > budget and not (opened(block, p, budget) == p and estimate_one(p) <= budget)]
+        if width == 1 or not bad:
             return found
-        width -= 1
+        # as long as no sentence is cut, nothing changes before the width is below the largest that doesn't fit
+        width = max(1, min(width, max(map(estimate_one, bad))) - 1) if max(sizes, default=0) <= width else width - 1
 
 
 def chunks_of(blocks: list[dict], budget: int | None = None) -> list[dict]:

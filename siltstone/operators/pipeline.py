@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.chunking import chunks_of
@@ -71,3 +71,16 @@ def source_counts(outcomes: DataFrame, keys: list[str]) -> DataFrame:
         count(F.col("outcome") == "skipped").alias("skipped_count"),
         count(F.col("empty_or_short_document")).alias("empty_or_short_document_count"),
     )
+
+
+def funnel(items: DataFrame, keys: list[str], external: str, url: str = "canonical_url") -> DataFrame:
+    """Discovered items of each source, those unique by address, and those of them left after best of group by external
+    id; items without an address or id all count."""
+    rank = Window.partitionBy(*keys, url).orderBy(F.asc_nulls_first(external))
+    first = F.col(url).isNull() | (F.row_number().over(rank) == 1)
+    marked = items.withColumn("first", first)
+    return marked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("discovered"),
+        F.count_if(F.col("first")).alias("unique"),
+        (F.count_distinct(F.when(F.col("first"), F.col(external))) + F.count_if(F.col("first") & F.col(external).isNull())).alias("deduped"),
+    )

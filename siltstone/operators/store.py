@@ -16,7 +16,7 @@ from contextlib import contextmanager
 from datetime import UTC, datetime, timedelta
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.folder import Folder
@@ -395,6 +395,22 @@ def not_activatable(run: dict, allow_caution: bool = False) -> str | None:
     return f"verdict is {run['verification_verdict']}"
 
 
+def activation_reason(status: Column, metadata: Column, verdict: Column, allow_caution: bool = False) -> Column:
+    """not_activatable() over a table of runs."""
+    disabled = F.coalesce(F.get_json_object(metadata, "$.embeddings_disabled").cast("boolean"), F.lit(False))
+    fit = (verdict == "pass") | (verdict == "caution") if allow_caution else verdict == "pass"
+    return (
+        F.when(~status.eqNullSafe(F.lit("complete")), F.concat(F.lit("run is "), F.coalesce(status, F.lit("None")), F.lit(", not complete")))
+        .when(disabled, "run was embedded without a provider")
+        .when(~F.coalesce(fit, F.lit(False)), F.concat(F.lit("verdict is "), F.coalesce(verdict, F.lit("None"))))
+    )
+
+
+def action_column(enabled: Column, first: Column, provider: Column, verdict: Column) -> Column:
+    """auto_action() over a table of runs."""
+    return F.when(F.coalesce(enabled & ~first & (provider != "noop") & (verdict == "pass"), F.lit(False)), "activate").otherwise("hold")
+
+
 def auto_action(enabled: bool, first: bool, provider: str, verdict: str) -> str:
     """activate or hold."""
     return "activate" if enabled and not first and provider != "noop" and verdict == "pass" else "hold"

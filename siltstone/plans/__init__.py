@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.plans import extraction_queries, refresh_queries, snapshot_queries, text_queries
+from siltstone.plans import extraction_queries, lifecycle_queries, refresh_queries, snapshot_queries, text_queries
 
-_MODULES = (snapshot_queries, refresh_queries, text_queries, extraction_queries)
+_MODULES = (snapshot_queries, refresh_queries, text_queries, extraction_queries, lifecycle_queries)
 
 
 def all_queries() -> dict:

@@ -184,13 +184,14 @@ def allowed_languages(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query(
-    """SELECT DISTINCT canonical_url, regexp_replace(regexp_replace(u, '[?#].*$', ''), '[^/]*$', '') || 'b' AS sibling, regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || '/x?q=1' AS rooted
-    FROM (SELECT canonical_url, trim(canonical_url, E' \\t\\n\\r') AS u FROM run_documents) WHERE regexp_matches(u, '^[a-z]+://[^/?#]+/') AND NOT regexp_matches(u, '[^\\x21-\\x7e]')"""
+    """SELECT DISTINCT canonical_url, CASE WHEN scheme <> '' THEN lower(scheme) || regexp_replace(regexp_replace(substr(u, length(scheme) + 1), '[?#].*$', ''), '[^/]*$', '') || 'b' END AS sibling,
+      CASE WHEN scheme <> '' THEN lower(scheme) || regexp_extract(substr(u, length(scheme) + 1), '^(://[^/?#]+)', 1) || '/x?q=1' END AS rooted
+    FROM (SELECT canonical_url, u, regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) AS scheme FROM (SELECT canonical_url, trim(canonical_url, E' \\t\\n\\r') AS u FROM run_documents))"""
 )
 def resolved_links(spark: SparkSession, base: str) -> DataFrame:
-    """Links made absolute against the address of the document they stand in."""
+    """Links made absolute against the address of the document they stand in; nulls where that has no scheme."""
     u = F.regexp_replace("canonical_url", r"^[ \t\n\r]+|[ \t\n\r]+$", "")
-    rows = table(spark, base, "run_documents").select("canonical_url", u.alias("u")).distinct().filter(F.col("u").rlike(r"^[a-z]+://[^/?#]+/") & ~F.col("u").rlike(r"[^\x21-\x7e]"))
+    rows = table(spark, base, "run_documents").select("canonical_url", u.alias("u")).distinct()
     return rows.select("canonical_url", urls.resolved(F.col("u"), F.lit("./a/../b#top")).alias("sibling"), urls.resolved(F.col("u"), F.lit("/x?q=1#y")).alias("rooted")).distinct()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import dedupe, diff, gate, pipeline, reuse, search, store
 from siltstone.operators.snapshots import canonical_address, canonical_source
-from siltstone.session import table
+from siltstone.session import stored, table
 from siltstone.streaming import refresh as streaming
 
 _SQL: dict[str, str] = {}
@@ -83,7 +83,7 @@ def run_diff(spark: SparkSession, base: str) -> DataFrame:
     count(*) FILTER (WHERE change_type = 'removed') AS removed_count, count(*) FILTER (WHERE change_type = 'changed') AS changed_count, count(*) FILTER (WHERE change_type = 'moved') AS moved_count FROM diff"""
 )
 def diff_summary(spark: SparkSession, base: str) -> DataFrame:
-    previous, current = live_sides(spark, base)
+    previous, current = map(stored, live_sides(spark, base))
     return diff.diff_summary(diff.run_diff(previous, current), previous, current)
 
 
@@ -159,17 +159,6 @@ def bounded_evidence(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", F.size("segments").alias("shown"), "omitted", F.array_join("segments", "\n").alias("evidence"))
 
 
-@query()
-def content_changes(spark: SparkSession, base: str) -> DataFrame:
-    """Lines added to and removed from the changed documents, by their chunks in the last two full deliveries."""
-    ch = table(spark, base, "chunks").distinct().withColumn("canonical_url", canonical_address(F.get_json_object("metadata", "$.canonical_url"))).withColumn("source_id", canonical_source(F.col("source_id")))
-    pointers = table(spark, base, "kb_indexes").select("live_run_id", "previous_live_run_id").distinct()
-    now = ch.join(pointers.select(F.col("live_run_id").alias("run_id")), "run_id", "left_semi")
-    before = ch.join(pointers.select(F.col("previous_live_run_id").alias("run_id")), "run_id", "left_semi")
-    changed = live_diff(spark, base).filter("change_type = 'changed'")
-    return diff.content_changes(before, now, changed)
-
-
 # --- keep-first and best-of-group
 
 @query(
@@ -285,7 +274,7 @@ SELECT source_id, list_aggregate(list_filter([CASE WHEN document_count = 0 THEN
 @query(GATE)
 def deterministic_gate(spark: SparkSession, base: str) -> DataFrame:
     """The gate over each source of the live runs: missing hashes as failures, missing titles as empty documents."""
-    previous, current = live_sides(spark, base)
+    previous, current = map(stored, live_sides(spark, base))
     changes = diff.run_diff(previous, current)
     sizes = previous.groupBy("source_id").agg(F.count(F.lit(1)).alias("previous_count"))
     classes = changes.groupBy("source_id").agg(*[F.count_if(F.col("change_type") == c).alias(f"{c}_count") for c in ("removed", "changed")])
