@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm import boilerplate, language, leakage, neighbours, quality, repeated_lines, residue, splitting, tokens
@@ -51,6 +51,17 @@ def p6_pieces(spark: SparkSession, base: str) -> DataFrame:
     return splitting.split_items(table(spark, base, "extracted_documents")).distinct()
 
 
+def p6_rejoined(spark: SparkSession, base: str) -> DataFrame:
+    """Of each oversized item: the text its pieces give without their overlaps, and that all keep to limit and overlap."""
+    found = splitting.split_items(table(spark, base, "extracted_documents")).distinct()
+    order = Window.partitionBy("extract_id", "item_no").orderBy("piece_no")
+    before = found.withColumn("before", F.coalesce(F.lag("end").over(order), F.lit(0)))
+    own = F.expr("substring(content, before - start + 1)")
+    right = (F.length("content") <= 2000) & (F.col("before") - F.col("start") == F.least(F.lit(200), F.col("before")))
+    whole = before.groupBy("extract_id", "item_no").agg(F.array_sort(F.collect_list(F.struct("piece_no", own.alias("own")))).alias("parts"), F.bool_and(right).alias("right"))
+    return whole.select("extract_id", "item_no", F.md5(F.array_join(F.transform("parts", lambda p: p["own"]), "")).alias("text"), "right")
+
+
 def p7_found(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "extracted_documents")
     labelled = language.label_documents(rows, language.fit(rows))
@@ -93,7 +104,7 @@ def p10_quartiles(spark: SparkSession, base: str) -> DataFrame:
 
 
 _QUERIES = (
-    p2_found, p3_found, p3_slots, p4_found, p4_main_text, p5_found, p5_clusters, p5_cleaned, p6_found, p6_pieces, p7_found, p7_languages,
+    p2_found, p3_found, p3_slots, p4_found, p4_main_text, p5_found, p5_clusters, p5_cleaned, p6_found, p6_pieces, p6_rejoined, p7_found, p7_languages,
     p8_ids, p8_offsets, p9_found, p9_paraphrases, p10_found, p10_statistics, p10_quartiles,
 )
 
@@ -112,5 +123,15 @@ SELECT DISTINCT extract_id, CAST(item_no AS INT) AS item_no FROM (
 """
 
 
+P6_REJOINED = """
+SELECT DISTINCT extract_id, CAST(item_no AS INT) AS item_no, md5(t) AS text, true AS "right" FROM (
+  SELECT extract_id, -1 AS item_no, normalized_content AS t FROM extracted_documents
+  UNION ALL
+  SELECT extract_id, i - 1 AS item_no, blocks[i].text AS t
+  FROM (SELECT extract_id, blocks, unnest(range(1, len(blocks) + 1)) AS i FROM extracted_documents)
+) WHERE length(t) > 2000
+"""
+
+
 def oracle_sql() -> dict:
-    return {"p6_found": P6_FOUND}
+    return {"p6_found": P6_FOUND, "p6_rejoined": P6_REJOINED}

@@ -78,7 +78,8 @@ def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
 
 def pieces(text: str, limit: int = 2000, overlap: int = 200) -> list[tuple[int, int]]:
     """(start, end) of the pieces of a text: at most `limit` codepoints each, and each but the first begins with the
-    `overlap` codepoints before its cut. 0 <= overlap < limit."""
+    `overlap` codepoints before its cut, wherever that falls, as the overlap is one of exactly that size; only cuts look
+    for boundaries. 0 <= overlap < limit."""
     return [(max(0, start - overlap), end) for start, end in cuts(text, limit, overlap)]
 
 
