@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators import dedupe, diff, embedding, gate, language_choice, pipeline, report, reuse, search
+from siltstone.operators import dedupe, diff, embedding, gate, language_choice, pipeline, report, reuse, search, vector_index
 from siltstone.operators.store import Store, auto_action
 from siltstone.operators.verification import MAX_PROMPT_TOKENS, Verification, prompt_stream
 from siltstone.session import stored
@@ -97,7 +97,11 @@ class Refresh:
             requests = fresh.count()
         check()
         with self.timed(timings, "persist"):
-            store.persist(run_id, {"documents": docs.drop("blocks", "normalized_content"), "chunks": ready, "sources": counts})
+            tables = {"documents": docs.drop("blocks", "normalized_content"), "sources": counts}
+            if not noop:
+                ready = stored(ready)
+                ready, tables["centroids"] = vector_index.built(ready, size)
+            store.persist(run_id, tables | {"chunks": ready})
         live = store.pointer(name)["live_run_id"]
         current = store.read("documents", run_id)
         previous = store.read("documents", live) if live else current.limit(0)
@@ -196,8 +200,9 @@ class Refresh:
             self.store.prune(older_than=self.store.clock() - timedelta(days=retention_days))
         return results
 
-    def search(self, index: dict, query: str, k: int = search.DEFAULT_LIMIT) -> DataFrame:
-        """The k chunks of the live run nearest to a query; the run's space is checked before the query is embedded."""
+    def search(self, index: dict, query: str, k: int = search.DEFAULT_LIMIT, probes: int | None = None, exact: bool = False) -> DataFrame:
+        """The k chunks of the live run nearest to a query, among those of the nearest cells, or of all that can hold one
+        (exact); the run's space is checked before the query is embedded."""
         config = index["embedding"]
         live = self.store.pointer(index["name"])["live_run_id"]
         if live is None:
@@ -209,4 +214,7 @@ class Refresh:
         stored_mark = json.loads(run["metadata"] or "{}").get("embedding_fingerprint")
         search.require_compatible({"id": live, "embedding_dimensions": config["embedding_dimensions"], "embedding_fingerprint": stored_mark}, config["embedding_dimensions"], mark)
         vector = self.embedders[index["name"]]([query])[0]
-        return search.top_k(self.store.read("chunks", live).withColumn("index_name", F.lit(index["name"])), vector, k)
+        chunks = self.store.read("chunks", live).withColumn("index_name", F.lit(index["name"]))
+        if "centroids" not in self.store.committed(live):
+            return search.top_k(chunks, vector, k)
+        return vector_index.top_k(chunks, self.store.read("centroids", live), vector, k, probes, exact)

@@ -22,6 +22,7 @@ TABLES = {
     "sources": "run_id string, source_id string, source_type string, processed long, document_count long, error_count long, skipped_count long, empty_or_short_document_count long",
     "documents": "id string, run_id string, source_id string, external_id string, canonical_url string, title string, locale string, language_source string, language_confidence double, normalized_content_hash string, raw_content_hash string, metadata string",
     "chunks": "chunk_id long, run_id string, document_id string, source_id string, chunk_index int, chunk_count int, content_hash string, content string, estimated_tokens int, heading_path array<string>, metadata string, embedding array<float>",
+    "centroids": "run_id string, cell int, centroid array<float>, angle double",
     "diffs": "run_id string, change_type string, source_id string, canonical_url string, title string, locale string, previous_source_id string, previous_url string, previous_hash string, current_hash string",
     "verifications": f"run_id string, deterministic_verdict string, llm_verdict string, final_verdict string, findings {FINDING}, input_hash string, result_source string, attestor string",
     "attestations": "input_hash string, attestor string, payload string, created_at timestamp, last_used_at timestamp",

@@ -25,7 +25,7 @@ STATES = ("created", "crawling", "embedding", "verifying", "complete", "activate
 UNFINISHED = ("created", "crawling", "embedding", "verifying")
 PRUNABLE = ("complete", "superseded", "rejected", "error")
 VERDICTS = ("pass", "caution", "fail")
-CONTENT = ("sources", "documents", "chunks", "diffs", "verifications", "reports")
+CONTENT = ("sources", "documents", "chunks", "centroids", "diffs", "verifications", "reports")
 #: The folders that each version of the layout added.
 FOLDERS = {1: ("runs", "pointers", "leases", "commits"), 2: ("attestations",)}
 LAYOUT = max(FOLDERS)

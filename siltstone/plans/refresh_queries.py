@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltstone.operators import dedupe, diff, gate, pipeline, reuse, search, store
+from siltstone.operators import dedupe, diff, gate, pipeline, reuse, search, store, vector_index
 from siltstone.operators.snapshots import canonical_address, canonical_source
 from siltstone.session import stored, table
 from siltstone.streaming import refresh as streaming
@@ -448,6 +448,13 @@ def live_search(spark: SparkSession, base: str) -> DataFrame:
     return search.top_k(_live(spark, base), _probe(spark, base)).select("chunk_id", "index_name", F.round("score", 4).alias("score"))
 
 
+@query(f"SELECT chunk_id, index_name, round(score, 4) AS score FROM {SCORED} ORDER BY score DESC, chunk_id LIMIT 10")
+def indexed_search(spark: SparkSession, base: str) -> DataFrame:
+    """live_search() through an index of cells, of which those are read that can hold one of the ten."""
+    indexed, centroids = vector_index.built(stored(_live(spark, base)), 64)
+    return vector_index.top_k(stored(indexed), centroids, _probe(spark, base), exact=True).select("chunk_id", "index_name", F.round("score", 4).alias("score"))
+
+
 @query(f"SELECT chunk_id, index_name, round(score, 4) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY index_name ORDER BY score DESC, chunk_id) AS rank FROM {SCORED}) WHERE rank <= 10")
 def search_per_index(spark: SparkSession, base: str) -> DataFrame:
     return search.top_k_per_index(_live(spark, base), _probe(spark, base)).select("chunk_id", "index_name", F.round("score", 4).alias("score"), "rank")
