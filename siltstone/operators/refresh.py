@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators import dedupe, diff, embedding, gate, language_choice, pipeline, report, reuse, search, vector_index
+from siltstone.operators import dedupe, diff, embedding, gate, language_choice, pipeline, report, reuse, schema, search, vector_index
 from siltstone.operators.store import Store, auto_action
 from siltstone.operators.verification import MAX_PROMPT_TOKENS, Verification, prompt_stream
 from siltstone.session import stored
@@ -97,7 +97,10 @@ class Refresh:
             requests = fresh.count()
         check()
         with self.timed(timings, "persist"):
-            tables = {"documents": docs.drop("blocks", "normalized_content"), "sources": counts}
+            twice = schema.duplicate_keys(docs.withColumn("run_id", F.lit(run_id))).first()
+            if twice:
+                raise ValueError(f"{twice['source_id']} lists {twice['canonical_url']} {twice['n']} times")
+            tables = {"documents": schema.conforms(docs.withColumn("metadata", F.to_json(F.struct("html_locale", F.size("blocks").alias("blocks")))), "documents"), "sources": counts}
             if not noop:
                 ready = stored(ready)
                 ready, tables["centroids"] = vector_index.built(ready, size)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,13 +48,8 @@ def duplicate_keys(documents: DataFrame) -> DataFrame:
     return documents.groupBy("run_id", "source_id", "canonical_url").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def lock_key(index_name: str) -> int:
-    """A stable signed 64-bit number for an index."""
-    return int.from_bytes(hashlib.sha256(f"index:{index_name}".encode()).digest()[:8], "big", signed=True)
-
-
 def lock_key_column(index_name: Column) -> Column:
-    """lock_key() inside the JVM, as hexadecimal digits."""
+    """A stable 64-bit number for an index, as hexadecimal digits."""
     return F.substring(F.sha2(F.concat(F.lit("index:"), index_name), 256), 1, 16)
 
 

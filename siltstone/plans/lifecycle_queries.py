@@ -163,6 +163,21 @@ def run_by_id(spark: SparkSession, base: str) -> DataFrame:
     return runs.join(first, "id", "left_semi").select("id", "index_name", "lifecycle_status", F.get_json_object("metadata", "$.embedding_fingerprint").alias("embedding_fingerprint"))
 
 
+@query(
+    """SELECT i.name AS index_name, d.locale, count(*) AS chunks FROM (SELECT DISTINCT * FROM chunks) c JOIN (SELECT DISTINCT name, live_run_id FROM kb_indexes WHERE live_run_id IS NOT NULL) i ON c.run_id = i.live_run_id
+    JOIN (SELECT id, run_id, CASE WHEN count(DISTINCT coalesce(locale, '')) = 1 THEN any_value(locale) END AS locale FROM run_documents GROUP BY ALL) d ON d.id = c.document_id AND d.run_id = c.run_id
+    WHERE len(c.embedding) = 64 AND len(list_filter(c.embedding, lambda x: x IS NULL)) = 0 GROUP BY ALL"""
+)
+def live_view(spark: SparkSession, base: str) -> DataFrame:
+    """The view that clients read, asked by SQL: chunks of live runs with vectors of one size, by index and locale."""
+    documents = table(spark, base, "run_documents").groupBy("id", "run_id").agg(
+        F.when(F.count_distinct(F.coalesce("locale", F.lit(""))) == 1, F.max("locale")).alias("locale"), F.max("canonical_url").alias("canonical_url"), F.max("title").alias("title")
+    )
+    name = f"live_{uuid.uuid4().hex}"
+    schema.register_live_view(spark, table(spark, base, "chunks"), table(spark, base, "kb_indexes"), documents, name, 64)
+    return spark.sql(f"SELECT index_name, locale, count(*) AS chunks FROM {name} GROUP BY index_name, locale")
+
+
 # --- the store, written and read back
 
 def _store(spark: SparkSession) -> store.Store:

@@ -57,12 +57,6 @@ def file_items(spark: SparkSession, root: str, source_id: str, extensions: tuple
     )
 
 
-def missing_paths(wanted: DataFrame, found: DataFrame) -> DataFrame:
-    """Requested paths that no file answers, as not-found anomalies."""
-    gone = wanted.select("canonical_url").join(found.select("canonical_url"), "canonical_url", "left_anti")
-    return gone.withColumn("outcome", F.lit("error")).withColumn("category", F.lit("not-found"))
-
-
 def path_items(spark: SparkSession, paths: list[str], source_id: str) -> DataFrame:
     """Items of files named one by one, of any type, in their order (discovered); those that don't exist are not-found
     anomalies."""

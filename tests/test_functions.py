@@ -90,3 +90,17 @@ def test_cosine(spark):
     assert one(spark, vectors.cosine(F.col("a"), F.col("b")), a=[0.0, 0.0], b=[2.0, 0.0]) is None
     assert one(spark, vectors.cosine(F.col("a"), F.col("b")), a=[1.0], b=[2.0, 0.0]) is None
     assert one(spark, vectors.of_size(F.col("a"), 2), a=[1.0, 0.0]) is True
+
+
+def test_languages_by_words_and_by_script(spark):
+    from pyspark.sql import functions as F
+
+    from siltstone.operators.language_choice import detected
+
+    rows = {
+        "de": "Das Haus steht an dem Fluss und kann auch von der Stadt aus gesehen werden.", "nl": "Het huis kan ook van de stad door de mensen gezien worden.",
+        "pt": "A casa foi vista pelo homem ou por sua mãe à noite.", "ru": "Дом стоит у реки.", "el": "Το σπίτι είναι κοντά.", "ja": "これはペンです。", "zh": "河边有房子。", None: "12 34",
+    }
+    frame = spark.createDataFrame([(k, v) for k, v in rows.items()], "want string, text string")
+    found = frame.select("want", detected(F.col("text"), ["de", "nl", "pt", "ru", "el", "ja", "zh", "xx"])["locale"].alias("got")).collect()
+    assert {r["want"]: r["got"] for r in found} == {k: k for k in rows}
