@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from siltstone.functions import text, urls
 from siltstone.operators import language_choice, pipeline
 from siltstone.session import spread, table
+from siltstone.sources import web
+from siltstone.streaming import refresh as streaming
 
 _SQL: dict[str, str] = {}
 _QUERIES: dict = {}
@@ -219,6 +221,33 @@ def meaningful_titles(spark: SparkSession, base: str) -> DataFrame:
     return table(spark, base, "run_documents").select("id", "title", text.is_meaningful(F.col("title"), 30, fold=False).alias("meaningful")).distinct()
 
 
+@query("SELECT DISTINCT d.source_id, trim(canonical_url, E' \\t\\n\\r') AS location FROM run_documents d WHERE trim(coalesce(canonical_url, ''), E' \\t\\n\\r') <> ''")
+def sitemap_locations(spark: SparkSession, base: str) -> DataFrame:
+    """Addresses read from sitemaps: one for each address listed, as several deliveries of a site's map."""
+    rows = table(spark, base, "run_documents").select("source_id", "canonical_url").distinct().filter("canonical_url is not null")
+    escaped = F.replace(F.replace("canonical_url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    body = F.concat(F.lit("<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'><url><loc> "), escaped, F.lit(" </loc></url><url><loc> </loc></url></urlset>"))
+    found = web.sitemap_locations(rows.select(F.col("source_id").alias("url"), body.alias("body")))
+    return found.filter("kind = 'page'").select(F.col("parent").alias("source_id"), F.regexp_replace("location", r"^\s+|\s+$", "").alias("location")).distinct()
+
+
+@query(
+    f"""SELECT DISTINCT page_id, 'https://site.example' || regexp_replace(href, '#.*$', '') AS href FROM (SELECT page_id, unnest(regexp_extract_all(body, '<a [^>]*href="([^"]*)"', 1)) AS href FROM (SELECT DISTINCT page_id, body FROM pages WHERE {HTML})) WHERE starts_with(href, '/')"""
+)
+def page_links(spark: SparkSession, base: str) -> DataFrame:
+    """Links of the HTML pages, absolute and without fragments."""
+    pages = _pages(spark, base, "text/html", "application/xhtml")
+    found = web.links(pages.select(F.concat(F.lit("https://site.example/p/"), "page_id").alias("canonical_url"), "body"))
+    return found.filter("startswith(href, 'https://site.example/') and not startswith(href, 'https://site.example/p/')").select(F.regexp_extract("canonical_url", r"(\d+)$", 1).cast("long").alias("page_id"), "href").distinct()
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def first_seen_events(spark: SparkSession, base: str) -> DataFrame:
+    """Keep-first of a stream in its batch form, an address being a user and an event."""
+    events = table(spark, base, "events").withColumn("address", F.concat_ws("/", "user_id", "event_type"))
+    return streaming.first_seen(events, "ts", "address").select("user_id", "event_type")
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

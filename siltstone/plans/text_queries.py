@@ -160,7 +160,14 @@ def html_blocks(spark: SparkSession, base: str) -> DataFrame:
     return found.select("page_id", F.transform("new_blocks", lambda b: b["text"]).alias("texts"), F.size("new_blocks").alias("blocks")).distinct()
 
 
-@query()
+@query(
+    r"""SELECT DISTINCT page_id, source_id, CASE WHEN len(blocks) > 0 THEN 'document' ELSE 'skipped' END AS outcome,
+      CASE WHEN coalesce(title, '') <> '' THEN title WHEN starts_with(content_type, 'text/html') OR starts_with(content_type, 'application/xhtml') THEN
+        nullif(trim(replace(replace(replace(replace(replace(regexp_extract(body, '<title>([^<]*)</title>', 1), '&#x27;', chr(39)), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')), '') END AS doc_title,
+      CASE WHEN starts_with(content_type, 'text/html') OR starts_with(content_type, 'application/xhtml') THEN nullif(regexp_extract(body, '<html[^>]*\slang="([^"]*)"', 1), '') END AS html_locale,
+      sha256(array_to_string(list_transform(coalesce(blocks, []), lambda b: b.text), ' ')) AS normalized_content_hash, CAST(len(coalesce(blocks, [])) AS INT) AS blocks
+    FROM pages"""
+)
 def page_documents(spark: SparkSession, base: str) -> DataFrame:
     found = pipeline.documents(table(spark, base, "pages").select("page_id", "source_id", "canonical_url", "title", "content_type", "body"))
     return found.select("page_id", "source_id", "outcome", "doc_title", "html_locale", "normalized_content_hash", F.size("new_blocks").alias("blocks")).distinct()
