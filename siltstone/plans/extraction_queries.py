@@ -248,6 +248,17 @@ def first_seen_events(spark: SparkSession, base: str) -> DataFrame:
     return streaming.first_seen(events, "ts", "address").select("user_id", "event_type")
 
 
+@query(
+    """WITH RECURSIVE listed AS (SELECT user_id, event_id, epoch_us(ts) AS arrival, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    started AS (SELECT user_id, event_id, arrival, n, arrival AS begun FROM listed WHERE n = 1
+      UNION ALL SELECT l.user_id, l.event_id, l.arrival, l.n, greatest(l.arrival, s.begun + 7200000000) FROM started s JOIN listed l ON l.user_id = s.user_id AND l.n = s.n + 1)
+    SELECT event_id, begun - arrival AS waited FROM started"""
+)
+def spaced_requests(spark: SparkSession, base: str) -> DataFrame:
+    """How long the events of a user would wait if they had to start two hours apart."""
+    return streaming.spaced_starts(table(spark, base, "events"), "user_id", "ts", "event_id", 7200).select("event_id", "waited")
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

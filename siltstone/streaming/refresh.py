@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,18 @@ def first_seen(items: DataFrame, at: str, url: str = "canonical_url", late: str
     return items.dropDuplicates([url])
 
 
+def spaced_starts(requests: DataFrame, host: str, at: str, tie: str, seconds: float) -> DataFrame:
+    """requests with `waited`, the microseconds each has to wait so that the starts of a host lie `seconds` apart, first
+    come first served. Start n is the latest of (arrival j + (n - j) spacings) over all j up to n, which a running
+    maximum gives without going from one to the next."""
+    gap = F.lit(int(seconds * 1_000_000)).cast("long")
+    order = Window.partitionBy(host).orderBy(at, tie)
+    arrival, n = F.unix_micros(F.col(at).cast("timestamp")), F.row_number().over(order)
+    placed = requests.withColumns({"arrival": arrival, "nth": n})
+    latest = F.max(F.col("arrival") - F.col("nth") * gap).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("waited", latest + F.col("nth") * gap - F.col("arrival")).drop("arrival", "nth")
+
+
 def on_each_batch(items: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str):
     """Work through what has arrived and stop; the checkpoint folder makes a repeated call continue after it."""
     return items.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
